@@ -131,6 +131,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         F.percentile_approx(value, lows, accuracy).alias("__lo"),
         F.percentile_approx(value, highs, accuracy).alias("__hi"),
     )
+    # the sketch is off by at most n / accuracy ranks and interpolation looks one
+    # rank further; below 2 * accuracy rows the whole (small) group is ranked
+    small = F.col("__n") < 2 * accuracy
     targets = sketch.select(
         *keys,
         "__n",
@@ -140,8 +143,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
                     F.struct(
                         F.lit(name).alias("__name"),
                         (F.lit(p) * (F.col("__n") - 1)).alias("__pos"),
-                        (F.col("__min") if p - eps <= 0 else F.col("__lo")[i]).alias("__lo"),
-                        (F.col("__max") if p + eps >= 1 else F.col("__hi")[i]).alias("__hi"),
+                        F.when(small, F.col("__min")).otherwise(F.col("__min") if p - eps <= 0 else F.col("__lo")[i]).alias("__lo"),
+                        F.when(small, F.col("__max")).otherwise(F.col("__max") if p + eps >= 1 else F.col("__hi")[i]).alias("__hi"),
                     )
                     for i, (name, p) in enumerate(probs.items())
                 ]

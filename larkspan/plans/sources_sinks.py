@@ -17,7 +17,7 @@ from larkspan.functions.html import (
 from larkspan.registry import query
 from larkspan.sources.files import conform, content_type, extension, listing, read_csv, split_rejects
 from larkspan.storage import scratch, written
-from larkspan.tables import SCHEMAS
+from larkspan.tables import SCHEMAS, values
 
 ORDERS_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -265,7 +265,7 @@ WHERE n_regionkey IN (1, 2)"""
 )
 def gov_masked_view(t):
     """Row filter by a grant table, masked name, balance only for a granted region."""
-    grants = t.spark.createDataFrame([("analyst", 1, True), ("analyst", 2, False)], "role STRING, regionkey INT, sees_balance BOOLEAN")
+    grants = values(t.spark, "role STRING, regionkey INT, sees_balance BOOLEAN", [("analyst", 1, True), ("analyst", 2, False)])
     mine = grants.where(F.col("role") == "analyst")
     nations = t.nation.join(mine, F.col("n_regionkey") == F.col("regionkey"))
     rows = t.customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))

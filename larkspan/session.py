@@ -14,6 +14,7 @@ def local_session(app: str = "larkspan", cpus: int | None = None) -> SparkSessio
         .appName(app)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -45,3 +45,23 @@ class Tables:
         if name not in SCHEMAS:
             raise AttributeError(name)
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+
+
+def values(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small constant table as a local relation of the plan."""
+
+    def lit(v) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        return f"{v!r}D" if isinstance(v, float) else repr(v)
+
+    body = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+    names = [part.strip().split(" ")[0] for part in schema.split(",")]
+    types = [part.strip().split(" ")[1] for part in schema.split(",")]
+    cols = ", ".join(f"CAST(c{i} AS {ty}) AS {name}" for i, (name, ty) in enumerate(zip(names, types)))
+    alias = ", ".join(f"c{i}" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS v({alias})")
