@@ -12,20 +12,17 @@ PATTERNS: dict[str, str] = {
     "IP_ADDRESS": r"\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b",
     "PHONE_NUMBER": r"\+[0-9]{1,2} \([0-9]{3}\) [0-9]{3}-[0-9]{4}",
     "PAYMENT_CARD_DATA": r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
-    "NATIONAL_ID": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    "NATIONAL_ID": r"\b(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4} [0-9]{4} [0-9]{4})\b",
     "TAX_IDENTIFIER": r"\b[A-Z]{5}[0-9]{4}[A-Z]\b",
     "DATE_OF_BIRTH": r"\b[0-9]{1,2}[/-][0-9]{1,2}[/-](?:19|20)[0-9]{2}\b",
+    "PASSPORT": r"\b[A-Z][0-9]{7,8}\b",
+    "DRIVERS_LICENSE": r"\b[A-Z]{2}[0-9]{2} ?[0-9]{11}\b",
+    "AGE": r"\b[0-9]{1,3}[ -]years?[ -]old\b",
+    "ADDRESS": r"\b[0-9]{1,5} (?:[A-Z][a-z]+ ){1,3}(?:Street|Avenue|Road|Boulevard|Lane|Drive)\b",
+    "GENDER": r"\b(?:male|female|non-binary)\b",
+    "NAME": r"\b(?:Mr|Mrs|Ms|Dr)\.? [A-Z][a-z]+(?: [A-Z][a-z]+)?\b",
 }
-
-# Dictionary categories, matched as whole words.
-DICTIONARIES: dict[str, list[str]] = {
-    "NAME": ["alice", "robert", "maria", "priya", "johann"],
-    "GENDER": ["male", "female", "non-binary"],
-    "AGE": ["year old", "years old"],
-    "ADDRESS": ["street", "avenue", "boulevard"],
-    "MARITAL_STATUS": ["married", "divorced", "widowed"],
-}
-CATEGORIES = [*PATTERNS, *DICTIONARIES]
+CATEGORIES = list(PATTERNS)
 
 
 def validate(categories: list[str] | None) -> list[str]:
@@ -39,9 +36,7 @@ def validate(categories: list[str] | None) -> list[str]:
 
 
 def pattern(category: str) -> str:
-    if category in PATTERNS:
-        return PATTERNS[category]
-    return r"(?i)\b(?:" + "|".join(DICTIONARIES[category]) + r")\b"
+    return PATTERNS[category]
 
 
 def redact(text: Column, categories: list[str] | None = None) -> Column:
@@ -92,17 +87,17 @@ def _spans(text: Column, category: str, rank: int) -> Column:
     k-th piece of the text around the matches."""
     hits = matches(text, category)
     pieces = F.split(text, pattern(category), -1)
-    # walk the pieces, adding up lengths
-    start = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("k"), F.expr(
-        "cast(array() as array<struct<category:string,text:string,start:int,end:int,rank:int>>)"
-    ).alias("out"))
-
-    def step(acc, hit):
-        begin = acc["pos"] + F.length(F.get(pieces, acc["k"]))
-        end = begin + F.length(hit)
+    steps = F.filter(F.arrays_zip(pieces.alias("piece"), hits.alias("hit")), lambda s: s["hit"].isNotNull())
+    start = F.struct(
+        F.lit(0).alias("pos"), F.expr("cast(array() as array<struct<category:string,text:string,start:int,end:int,rank:int>>)").alias("out")
+    )
+
+    def step(acc, s):
+        begin = acc["pos"] + F.length(s["piece"])
+        end = begin + F.length(s["hit"])
         row = F.struct(
-            F.lit(category).alias("category"), hit.alias("text"), begin.alias("start"), end.alias("end"), F.lit(rank).alias("rank")
+            F.lit(category).alias("category"), s["hit"].alias("text"), begin.alias("start"), end.alias("end"), F.lit(rank).alias("rank")
         )
-        return F.struct(end.alias("pos"), (acc["k"] + 1).alias("k"), F.concat(acc["out"], F.array(row)).alias("out"))
+        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(row)).alias("out"))
 
-    return F.aggregate(hits, start, step, lambda acc: acc["out"])
+    return F.when(F.size(hits) > 0, F.aggregate(steps, start, step, lambda acc: acc["out"])).otherwise(start["out"])

@@ -19,6 +19,12 @@ STOPWORDS = [
 STEM_SUFFIXES = ["ing", "ed", "es", "s"]
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate `value` once per row and hand it to `body`, which may use it
+    inside lambdas; a plain expression there would be evaluated per element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
