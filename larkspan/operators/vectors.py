@@ -12,9 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from larkspan.operators.search import DIMS as HASHED_DIMS
 from larkspan.tables import EMBEDDING_DIMS
 
 BLOCK_ROWS = 4096
@@ -37,7 +40,12 @@ def query_blocks(queries: DataFrame, key: str) -> Iterator[tuple[np.ndarray, np.
         rows = part.select(key, "embedding").orderBy(key).collect()
         if rows:
             ids = np.array([r[0] for r in rows], dtype=np.int64)
-            yield ids, unit(np.array([r[1] for r in rows], dtype=np.float64))
+            if isinstance(queries.schema["embedding"].dataType.elementType, T.IntegerType):
+                where = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+                flat = np.concatenate([np.array(r[1], dtype=np.int64) for r in rows])
+                yield ids, unit(counts_matrix(where, flat, len(rows), HASHED_DIMS))
+            else:
+                yield ids, unit(np.array([r[1] for r in rows], dtype=np.float64))
 
 
 def unit(m: np.ndarray) -> np.ndarray:
@@ -45,10 +53,18 @@ def unit(m: np.ndarray) -> np.ndarray:
     return m / np.where(n == 0.0, 1.0, n)
 
 
-def matrix_of(batch: pa.RecordBatch, name: str = "embedding") -> np.ndarray:
-    col = batch.column(name)
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(col), -1)
+def counts_matrix(rows: np.ndarray, buckets: np.ndarray, n: int, dims: int) -> np.ndarray:
+    """Dense term-frequency rows from (row, bucket) occurrences."""
+    return np.bincount(rows * dims + buckets, minlength=n * dims).reshape(n, dims).astype(np.float64)
+
+
+def matrix_of(batch: pa.RecordBatch) -> np.ndarray:
+    col = batch.column("embedding")
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    if pa.types.is_integer(col.type.value_type):  # hashed text: bucket numbers with repeats
+        lengths = pa.compute.list_value_length(col).to_numpy(zero_copy_only=False).astype(np.int64)
+        return counts_matrix(np.repeat(np.arange(len(col)), lengths), flat.astype(np.int64), len(col), HASHED_DIMS)
+    return flat.astype(np.float64).reshape(len(col), -1)
 
 
 def best_per_row(corpus: DataFrame, row_key: str, queries: DataFrame, query_key: str, k: int | None, ordered_pairs: bool = False) -> DataFrame:
