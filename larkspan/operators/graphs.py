@@ -1,6 +1,6 @@
 """Iterative graph jobs: bounded frontiers, components, communities.
 
-Each round is a join and an aggregation; the state is checkpointed, so plans
+Each round is a join and an aggregation; the state is written, so plans
 stay short and a lost executor costs a round at most.
 """
 

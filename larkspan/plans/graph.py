@@ -55,8 +55,8 @@ _EDGES = f"""{_RELATIONS},
 ed AS MATERIALIZED (SELECT source, target, count(*) AS weight, array_to_string(list_sort(list(DISTINCT relation)), '|') AS relations, count(DISTINCT doc_id) AS chunks,
   min(doc_id) AS first_chunk, max(doc_id) AS last_chunk FROM rl GROUP BY 1, 2),
 ud AS MATERIALIZED (SELECT a, b, CAST(sum(weight) AS BIGINT) AS weight FROM (SELECT source AS a, target AS b, weight FROM ed UNION ALL SELECT target, source, weight FROM ed) GROUP BY 1, 2),
-dg AS (SELECT a AS node, sum(weight) AS k FROM ud GROUP BY 1),
-seed AS MATERIALIZED (SELECT node FROM dg ORDER BY k DESC, node LIMIT 1)"""
+dg AS (SELECT a AS node, count(*) AS nb, sum(weight) AS k FROM ud GROUP BY 1),
+seed AS MATERIALIZED (SELECT node FROM dg ORDER BY nb DESC, k DESC, node LIMIT 1)"""
 
 WITH = "WITH RECURSIVE "
 
@@ -88,8 +88,9 @@ def weighted_graph(t):
 
 
 def seed_node(pairs):
-    """The node with the highest weighted degree: a one-row table."""
-    return pairs.groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("k")).orderBy(F.desc("k"), "node").limit(1).select("node")
+    """The node with the most neighbours (then weight): a one-row table."""
+    degree = pairs.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n"), F.sum("weight").alias("k"))
+    return degree.orderBy(F.desc("n"), F.desc("k"), "node").limit(1).select("node")
 
 
 @query(f"{WITH}{_MENTIONS} SELECT doc_id, sent, pos, CAST(n AS INTEGER) AS n, alias AS entity, type FROM ment")

@@ -1,9 +1,9 @@
 """Durable scratch space shared by all executors.
 
-Iterative jobs cut their lineage with `checkpoint()`; jobs that must write and
-read back (sinks, streams, caches) use a folder below the same place. On a
-cluster that place is the one named in `spark.checkpoint.dir`; only a local
-session without that setting gets a temporary folder of its own.
+Iterative jobs cut their lineage by writing their state; sinks, streams and
+caches write and read back too. All of it lies below one folder: on a cluster
+the one named in `spark.checkpoint.dir`; only a local session without that
+setting gets a temporary folder of its own.
 """
 
 from __future__ import annotations
@@ -37,9 +37,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise and truncate lineage; survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise the state of a loop and truncate its lineage.
+
+    A table in the shared folder survives the loss of executors. Unlike
+    `checkpoint()` it is computed once, and it does not carry the constraints
+    of the old plan, which multiply with every self-join of a loop."""
+    return written(df, "state")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,8 @@ def file_stream(spark: SparkSession, path: str, schema: str | T.StructType, file
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    # as a glob, the path may name one file as well as a folder of part files
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def run_to_files(df: DataFrame, out: str, checkpoint: str):
