@@ -41,6 +41,8 @@ def spans(text: str, size: int, overlap: int, separators: Sequence[str] = PLAIN)
     """Greedy packing: each span as long as fits, the next one starting in its tail."""
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below the size")
+    if not text:
+        return []
     points = cut_points(text, size, separators)
     out, i, last = [], 0, len(points) - 1
     while i < last:

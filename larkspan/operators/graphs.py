@@ -81,13 +81,11 @@ def peel(pairs: DataFrame) -> tuple[int, int]:
     total = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().count()
     loops = pairs.where("a = b").select("a").distinct()
     stuck_loops = not loops.isEmpty()
-    while True:
+    before, after = -1, left.count()
+    while after not in (0, before):
         targets = left.select(F.col("b").alias("t")).distinct()
-        fresh = cut(left.join(targets, left["a"] == targets["t"], "left_semi"))
-        before, after = left.count(), fresh.count()
-        left = fresh
-        if after == before or after == 0:
-            break
+        left = cut(left.join(targets, left["a"] == targets["t"], "left_semi"))
+        before, after = after, left.count()
     # edges that never go away keep their end points (and what hangs below them)
     on_cycle = left.select("a").union(left.select("b")).distinct().count() if after else (1 if stuck_loops else 0)
     return total - on_cycle, on_cycle

@@ -13,7 +13,7 @@ from larkspan.registry import query
 @query()
 def chunk_recursive(t):
     """1512/256 with plain separators; Markdown separators for parsed pages are the same call."""
-    return split_recursive(t.documents, "doc_id", "text", 1512, 256, PLAIN)
+    return split_recursive(t.texts, "doc_id", "text", 1512, 256, PLAIN)
 
 
 _FIXED = """
@@ -23,7 +23,7 @@ FROM (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil((length(text) - 10
 
 @query(_FIXED)
 def chunk_fixed_overlap(t):
-    return chunk_fixed(t.documents, "doc_id", "text", 1000, 100)
+    return chunk_fixed(t.texts, "doc_id", "text", 1000, 100)
 
 
 class ChunkText:
@@ -39,7 +39,7 @@ def chunk_line_udtf(t):
     from pyspark.sql.functions import udtf
 
     t.spark.udtf.register("chunk_text", udtf(ChunkText, returnType="chunk STRING, start_index INT"))
-    t.documents.createOrReplaceTempView("udtf_documents")
+    t.texts.createOrReplaceTempView("udtf_documents")
     return t.spark.sql("SELECT doc_id, c.chunk, c.start_index FROM udtf_documents, LATERAL chunk_text(text) AS c")
 
 
@@ -57,7 +57,7 @@ f(doc_id, budget, w, i, chunk, used) AS (
 SELECT doc_id, CAST(chunk AS INTEGER) AS chunk_index, count(*) AS lines, CAST(sum(w[i]) AS BIGINT) AS words FROM f GROUP BY 1, 2"""
 )
 def chunk_word_budget(t):
-    rows = packed_lines(t.documents, "doc_id", "text", [60])
+    rows = packed_lines(t.texts, "doc_id", "text", [60])
     return rows.groupBy("doc_id", "chunk_index").agg(F.count("*").alias("lines"), F.sum("n_words").alias("words"))
 
 
@@ -67,7 +67,7 @@ SELECT doc_id, count(*) AS chunks, max(chunk_index) + 1 AS by_index, CAST(min(le
        round(avg(length(chunk)), 4) AS mean_length FROM ({_FIXED}) GROUP BY 1"""
 )
 def chunk_inventory(t):
-    c = chunk_fixed(t.documents, "doc_id", "text", 1000, 100).withColumn("n", F.length("chunk"))
+    c = chunk_fixed(t.texts, "doc_id", "text", 1000, 100).withColumn("n", F.length("chunk"))
     return c.groupBy("doc_id").agg(
         F.count("*").alias("chunks"), (F.max("chunk_index") + 1).alias("by_index"), F.min("n").alias("shortest"), F.max("n").alias("longest"), F.round(F.avg("n"), 4).alias("mean_length")
     )
@@ -82,7 +82,7 @@ FROM r JOIN c USING (budget) GROUP BY 1, 2"""
 )
 def chunk_size_tradeoff(t):
     """Chunks and expected recall per word budget. The window stays inside one chunk."""
-    rows = packed_lines(t.documents, "doc_id", "text", [25, 50, 100, 200, 400])
+    rows = packed_lines(t.texts, "doc_id", "text", [25, 50, 100, 200, 400])
     later = Window.partitionBy("doc_id", "budget", "chunk_index").orderBy("line").rowsBetween(1, Window.unboundedFollowing)
     after = F.coalesce(F.sum("n_words").over(later), F.lit(0))
     facts = rows.withColumn("p", F.greatest(F.lit(0.3), 1 - 0.004 * after))

@@ -55,9 +55,9 @@ SELECT count(*) AS questions, round(avg(CASE WHEN rank <= 1 THEN 1 ELSE 0 END),
 def eval_hit_mrr(t):
     """The expected text is the first one holding the passage verbatim."""
     wide = hashed_top(t, 50).select("item_id", "doc_id")
-    full = wide.join(t.documents.select("doc_id", F.col("text").alias("dt")), "doc_id").join(t.benchmark.select("item_id", F.col("text").alias("bt")), "item_id")
+    full = wide.join(t.texts.select("doc_id", F.col("text").alias("dt")), "doc_id").join(t.benchmark.select("item_id", F.col("text").alias("bt")), "item_id")
     expected = full.where(F.col("dt").contains(F.col("bt"))).groupBy("item_id").agg(F.min("doc_id").alias("doc_id"))
-    ranks = expected.join(bm25_top(t.benchmark, "item_id", t.documents, "doc_id", 10), ["item_id", "doc_id"], "left")
+    ranks = expected.join(bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 10), ["item_id", "doc_id"], "left")
     at = lambda k: F.round(F.avg(F.when(F.col("rank") <= k, 1).otherwise(0)), 6)
     return ranks.agg(F.count("*").alias("questions"), at(1).alias("hit_at_1"), at(3).alias("hit_at_3"), F.round(F.avg(F.coalesce(1.0 / F.col("rank"), F.lit(0.0))), 6).alias("mrr"))
 
@@ -110,8 +110,8 @@ SELECT item_id, round({_PREFIX('qw', 'aw')}, 6) AS answer_relevance, round({_PRE
 )
 def eval_rag_triad(t):
     """Answer = the opening of the best text, context = the text itself."""
-    best = bm25_top(t.benchmark, "item_id", t.documents, "doc_id", 1).select("item_id", "doc_id")
-    rows = best.join(t.benchmark.select("item_id", F.col("text").alias("question")), "item_id").join(t.documents.select("doc_id", F.col("text").alias("context")), "doc_id")
+    best = bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 1).select("item_id", "doc_id")
+    rows = best.join(t.benchmark.select("item_id", F.col("text").alias("question")), "item_id").join(t.texts.select("doc_id", F.col("text").alias("context")), "doc_id")
     rows = check_claims(rows.withColumn("answer", F.left("context", F.lit(300))), "answer", "context")
     words = lambda c: scoring.claim_words(F.col(c))
     return rows.select(
@@ -134,12 +134,12 @@ cov AS (SELECT n.item_id, count(DISTINCT n.fact) AS required, count(DISTINCT CAS
 def link_coverage(t, k: int = 3):
     """(item_id, required, lexical, vector): required words found by each method."""
     need = t.benchmark.select("item_id", F.explode(F.array_distinct(F.filter(tokens(F.col("text")), lambda w: F.length(w) >= 6))).alias("fact"))
-    lists = {"lexical": bm25_top(t.benchmark, "item_id", t.documents, "doc_id", k), "vector": hashed_top(t, k)}
+    lists = {"lexical": bm25_top(t.benchmark, "item_id", t.texts, "doc_id", k), "vector": hashed_top(t, k)}
     hits = None
     for name, ranked in lists.items():
         part = ranked.select("item_id", "doc_id", F.lit(name).alias("method"))
         hits = part if hits is None else hits.unionByName(part)
-    words = hits.join(t.documents.select("doc_id", "text"), "doc_id").select("item_id", "method", F.explode(F.array_distinct(tokens(F.col("text")))).alias("fact")).distinct()
+    words = hits.join(t.texts.select("doc_id", "text"), "doc_id").select("item_id", "method", F.explode(F.array_distinct(tokens(F.col("text")))).alias("fact")).distinct()
     joined = need.join(words, ["item_id", "fact"], "left")
     per_fact = joined.groupBy("item_id", "fact").agg(*[F.max(F.when(F.col("method") == m, 1).otherwise(0)).alias(m) for m in lists])
     return per_fact.groupBy("item_id").agg(F.count("*").alias("required"), *[F.sum(m).alias(m) for m in lists])
@@ -181,7 +181,7 @@ SELECT lang, count(*) AS processed, CAST(sum(CASE WHEN predicted IS NULL THEN 1
 )
 def eval_fit_for_purpose(t):
     """Processed, skipped and rightly classified texts per language."""
-    p = t.documents.select("lang", tokens(F.col("text")).alias("w")).select("lang", scoring.best_label(F.col("w"), _LANGS).alias("predicted"))
+    p = t.texts.select("lang", tokens(F.col("text")).alias("w")).select("lang", scoring.best_label(F.col("w"), _LANGS).alias("predicted"))
     return p.groupBy("lang").agg(
         F.count("*").alias("processed"), F.count_if(F.col("predicted").isNull()).alias("skipped"), F.round(F.avg(F.when(F.col("predicted") == F.col("lang"), 1).otherwise(0)), 6).alias("accuracy")
     )

@@ -73,12 +73,12 @@ def _levels(n: int, path: bool = False) -> str:
 
 
 def found_mentions(t, docs=None):
-    docs = t.documents if docs is None else docs
+    docs = t.texts if docs is None else docs
     return written(kg.mentions(docs, kg.catalogue(docs)), "mentions")
 
 
 def found_relations(t):
-    return kg.relations(t.documents, found_mentions(t))
+    return kg.relations(t.texts, found_mentions(t))
 
 
 def weighted_graph(t):
@@ -95,7 +95,7 @@ def seed_node(pairs):
 
 @query(f"{WITH}{_MENTIONS} SELECT doc_id, sent, pos, CAST(n AS INTEGER) AS n, alias AS entity, type FROM ment")
 def ent_mentions(t):
-    return kg.mentions(t.documents, kg.catalogue(t.documents)).select("doc_id", "sent", "pos", F.col("n").cast("int").alias("n"), "entity", "type")
+    return kg.mentions(t.texts, kg.catalogue(t.texts)).select("doc_id", "sent", "pos", F.col("n").cast("int").alias("n"), "entity", "type")
 
 
 @query(f"{WITH}{_RELATIONS} SELECT doc_id, sent, source, relation, target FROM rl")
@@ -112,7 +112,7 @@ ct AS (SELECT *, regexp_extract(claim, '{kg.TIME_PATTERN}') AS time FROM cx)
 SELECT doc_id, sent, clause_no, subject, trim(claim, ' .') AS claim, time FROM ct JOIN su USING (doc_id, sent) WHERE time <> ''"""
 )
 def ent_claims(t):
-    return kg.claims(t.documents, found_mentions(t))
+    return kg.claims(t.texts, found_mentions(t))
 
 
 @query(f"{WITH}{_EDGES} SELECT source, target, weight, relations, chunks, first_chunk, last_chunk FROM ed")
@@ -129,7 +129,7 @@ SELECT node, type, text_units, count(*) AS facts, left(string_agg(fact, '. ' ORD
 )
 def kg_nodes(t):
     found = found_mentions(t)
-    rels = written(kg.relations(t.documents, found), "relations")
+    rels = written(kg.relations(t.texts, found), "relations")
     facts = rels.select("source", "relation", "target").distinct().withColumn("fact", F.concat_ws(" ", "source", "relation", "target"))
     inc = facts.select(F.explode(F.array_distinct(F.array("source", "target"))).alias("node"), "fact")
     text = bounded_text_agg(inc, ["node"], [F.col("fact")], F.col("fact"), ". ", 300, "description")
@@ -218,7 +218,7 @@ SELECT source, target, count(*) AS evidence, min(doc_id) AS first_seen FROM rl,
 def graph_temporal_filter(t, margin: int = 50):
     """Edges whose evidence lies inside the seed's own window (text number = time)."""
     found = found_mentions(t)
-    rels = written(kg.relations(t.documents, found), "relations")
+    rels = written(kg.relations(t.texts, found), "relations")
     seed = seed_node(kg.undirected(kg.edges(rels)))
     win = found.join(seed, F.col("entity") == F.col("node"), "left_semi").agg((F.min("doc_id") + margin).alias("lo"), (F.max("doc_id") - margin).alias("hi"))
     inside = rels.join(F.broadcast(win)).where("doc_id BETWEEN lo AND hi")  # win is one row
@@ -374,7 +374,7 @@ def stores_three(t):
     nodes = bounded_text_agg(ends, ["node"], [F.col("fact")], F.col("fact"), ". ", 500, "body").withColumn("id", F.xxhash64("node"))
     facts = community_facts(rels, home_community(e))
     reports = bounded_text_agg(facts, ["community"], [F.col("fact")], F.col("fact"), ". ", 2000, "body").withColumnRenamed("community", "id")
-    chunks = t.documents.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    chunks = t.texts.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
     stores = {"chunks": chunks, "entities": nodes.select("id", "body"), "reports": reports.select("id", "body")}
     out = None
     for name, df in stores.items():
@@ -391,7 +391,7 @@ SELECT doc_id, entities, row_number() OVER (ORDER BY entities DESC, doc_id) AS p
 def local_search(t, k: int = 10):
     """Texts ranked by how many entities of the seed's two-hop neighbourhood they mention."""
     found = found_mentions(t)
-    pairs = cut(kg.undirected(kg.edges(kg.relations(t.documents, found))))
+    pairs = cut(kg.undirected(kg.edges(kg.relations(t.texts, found))))
     return local_ranking(found, graphs.khop(pairs, seed_node(pairs), 2), k)
 
 
@@ -442,7 +442,7 @@ def map_reduce(t, facts, reports: int, threshold: int, keep: int):
 def drift_hybrid(t):
     """Primer from the reports, refinement in two hops around the seed, follow-ups on the seed's own links."""
     found = found_mentions(t)
-    rels = written(kg.relations(t.documents, found), "relations")
+    rels = written(kg.relations(t.texts, found), "relations")
     e = written(kg.edges(rels), "edges")
     pairs = cut(kg.undirected(e))
     seed = cut(seed_node(pairs))
@@ -477,7 +477,7 @@ c AS (SELECT alias, doc_id, lag(doc_id) OVER (PARTITION BY alias ORDER BY doc_id
 SELECT previous, doc_id, count(*) AS n, min(alias) AS first_shared, max(alias) AS last_shared FROM c WHERE previous IS NOT NULL GROUP BY 1, 2"""
 )
 def entity_bridges(t):
-    return kg.bridges(kg.mentions(t.documents, kg.catalogue(t.documents)))
+    return kg.bridges(kg.mentions(t.texts, kg.catalogue(t.texts)))
 
 
 @query(
@@ -488,7 +488,7 @@ SELECT CAST(n AS BIGINT) AS queries, index_work, round(index_work / n + 3, 6) AS
 def index_cost_model(t):
     """Index work spread over the number of queries, from real counts."""
     e = written(kg.edges(found_relations(t)), "edges")
-    texts = t.documents.agg(F.count("*").alias("texts"))
+    texts = t.texts.agg(F.count("*").alias("texts"))
     ents = e.select(F.explode(F.array("source", "target")).alias("n")).distinct().agg(F.count("*").alias("entities"))
     counts = texts.join(F.broadcast(ents)).join(F.broadcast(e.agg(F.count("*").alias("edges"))))  # one row each
     w = counts.withColumn("index_work", F.col("texts") + F.col("entities") + F.col("edges"))

@@ -35,7 +35,7 @@ SELECT doc_id, lang, source, coalesce(label, 'other') AS category, {q.sentiment(
 )
 def job_customer_intelligence(t):
     """Redact, filter actionable, classify and score, extract, aggregate, view with cost."""
-    clean = written(t.documents.select("doc_id", "lang", "source", pii.redact(F.col("text")).alias("text")), "clean")
+    clean = written(t.texts.select("doc_id", "lang", "source", pii.redact(F.col("text")).alias("text")), "clean")
     w = F.col("words")
     flagged = scoring.has_cue(w, _ABUSE) | F.col("text").rlike(r"(?s)\[.*\]") | scoring.has_cue(w, ["licensed", "license"])
     actionable = with_words(clean, "doc_id", "lang", "source").where(flagged)
@@ -93,8 +93,8 @@ def job_ask_documents(t):
 @query()
 def job_graph_rag(t):
     """Extract, build the graph, detect communities, write reports, route and search."""
-    found = written(kg.mentions(t.documents, kg.catalogue(t.documents)), "mentions")
-    rels = written(kg.relations(t.documents, found), "relations")
+    found = written(kg.mentions(t.texts, kg.catalogue(t.texts)), "mentions")
+    rels = written(kg.relations(t.texts, found), "relations")
     e = written(kg.edges(rels), "edges")
     pairs = cut(kg.undirected(e))
     members = cut(graphs.communities(pairs, rounds=4))

@@ -32,7 +32,7 @@ def _sparse(name: str, table: str, key: str) -> str:
 
 @query(f"WITH {_sparse('d', 'documents', 'doc_id')} SELECT doc_id, CAST(dim AS INTEGER) AS dim, round(w, 6) AS weight FROM d")
 def embed_hashing(t):
-    return embed_sparse(t.documents, "doc_id", "text").withColumn("weight", F.round("weight", 6))
+    return embed_sparse(t.texts, "doc_id", "text").withColumn("weight", F.round("weight", 6))
 
 
 _SCORED = f"""
@@ -70,7 +70,7 @@ lex AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY
 
 @query(f"WITH {_BM25} SELECT item_id, doc_id, score, rank FROM lex WHERE rank <= 10")
 def search_lexical_bm25(t):
-    return bm25_top(t.benchmark, "item_id", t.documents, "doc_id", 10)
+    return bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 10)
 
 
 def hashed_table(df, key: str):
@@ -78,7 +78,7 @@ def hashed_table(df, key: str):
 
 
 def hashed_top(t, k: int):
-    return best_per_query(hashed_table(t.documents, "doc_id"), "doc_id", hashed_table(t.benchmark, "item_id"), "item_id", k)
+    return best_per_query(hashed_table(t.texts, "doc_id"), "doc_id", hashed_table(t.benchmark, "item_id"), "item_id", k)
 
 
 _VEC = f"""
@@ -96,7 +96,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY rrf DESC, doc_i
 SELECT * FROM r WHERE rank <= 10"""
 )
 def search_hybrid_rrf(t):
-    lexical = bm25_top(t.benchmark, "item_id", t.documents, "doc_id", 50)
+    lexical = bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 50)
     return fuse([lexical, hashed_top(t, 50)], "item_id", "doc_id", 10)
 
 
@@ -124,7 +124,7 @@ SELECT * FROM r WHERE rank <= 3"""
 def search_rerank(t, wide: int = 8, keep: int = 3):
     """Retrieve wide by cosine, rescore the few survivors with term coverage."""
     first = hashed_top(t, wide).drop("rank")
-    rows = first.join(t.benchmark.select("item_id", F.col("text").alias("qt")), "item_id").join(t.documents.select("doc_id", F.col("text").alias("dt")), "doc_id")
+    rows = first.join(t.benchmark.select("item_id", F.col("text").alias("qt")), "item_id").join(t.texts.select("doc_id", F.col("text").alias("dt")), "doc_id")
     cov = F.round(coverage(scoring.claim_words(F.col("qt")), F.array_distinct(scoring.claim_words(F.col("dt")))), 6)
     scored = rows.select("item_id", "doc_id", "similarity", cov.alias("coverage"))
     scored = scored.withColumn("score", F.round(0.5 * F.col("similarity") + 0.5 * F.col("coverage"), 6))
@@ -200,7 +200,7 @@ def fewshot_retrieval(t):
 
 
 def top_context(t, k: int = 3):
-    return bm25_top(t.benchmark, "item_id", t.documents, "doc_id", k)
+    return bm25_top(t.benchmark, "item_id", t.texts, "doc_id", k)
 
 
 @query(
@@ -212,7 +212,7 @@ FROM c JOIN benchmark b USING (item_id) GROUP BY 1"""
 def prompt_assembly(t):
     """One prompt per question: ranked context lines, then the question."""
     line = F.concat(F.lit("["), F.col("doc_id"), F.lit(" / "), F.col("source"), F.lit("] "), F.left("text", F.lit(200)))
-    rows = top_context(t).join(t.documents.select("doc_id", "source", "text"), "doc_id").select("item_id", "rank", line.alias("line"))
+    rows = top_context(t).join(t.texts.select("doc_id", "source", "text"), "doc_id").select("item_id", "rank", line.alias("line"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", "line")))
     ctx = rows.groupBy("item_id").agg(F.array_join(F.transform(ordered, lambda r: r["line"]), "\n").alias("ctx"))
     full = ctx.join(t.benchmark, "item_id")
@@ -225,7 +225,7 @@ WITH {_BM25} SELECT item_id, string_agg(DISTINCT source, ',' ORDER BY source) AS
 FROM lex JOIN documents USING (doc_id) WHERE rank <= 5 GROUP BY 1"""
 )
 def provenance_citations(t):
-    rows = top_context(t, 5).join(t.documents.select("doc_id", "source"), "doc_id")
+    rows = top_context(t, 5).join(t.texts.select("doc_id", "source"), "doc_id")
     cite = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("rank").cast("string"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", cite.alias("c"))))
     return rows.groupBy("item_id").agg(

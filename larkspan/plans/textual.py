@@ -30,7 +30,7 @@ def with_words(df, *keep: str):
 
 @query(f"SELECT doc_id, {q.labels(q.toks('text'), lx.TOPIC_TERMS)}[1].label AS label FROM documents")
 def ai_classify_single(t):
-    return with_words(t.documents, "doc_id").select("doc_id", scoring.best_label(F.col("words"), lx.TOPIC_TERMS).alias("label"))
+    return with_words(t.texts, "doc_id").select("doc_id", scoring.best_label(F.col("words"), lx.TOPIC_TERMS).alias("label"))
 
 
 @query(
@@ -39,7 +39,7 @@ WITH s AS (SELECT doc_id, {q.labels(q.toks('text'), DESCRIBED)} AS s FROM docume
 SELECT doc_id, s[1].label AS label, round(-s[1].neg, 4) AS score FROM s"""
 )
 def ai_classify_described(t):
-    s = with_words(t.documents, "doc_id").select("doc_id", F.get(scoring.label_scores(F.col("words"), DESCRIBED), F.lit(0)).alias("s"))
+    s = with_words(t.texts, "doc_id").select("doc_id", F.get(scoring.label_scores(F.col("words"), DESCRIBED), F.lit(0)).alias("s"))
     return s.select("doc_id", "s.label", F.round(-F.col("s.neg"), 4).alias("score"))
 
 
@@ -50,7 +50,7 @@ SELECT doc_id, r.label AS label, round(-r.neg, 4) AS score FROM (
 )
 def ai_classify_multi(t):
     s = scoring.label_scores(F.col("words"), lx.TOPIC_TERMS)
-    rows = with_words(t.documents, "doc_id").select("doc_id", F.explode(F.filter(s, lambda r: -r["neg"] >= 3)).alias("r"))
+    rows = with_words(t.texts, "doc_id").select("doc_id", F.explode(F.filter(s, lambda r: -r["neg"] >= 3)).alias("r"))
     return rows.select("doc_id", "r.label", F.round(-F.col("r.neg"), 4).alias("score"))
 
 
@@ -64,7 +64,7 @@ FROM labels JOIN p USING (doc_id) GROUP BY 1, 2"""
 def ai_classify_agreement(t):
     """Confusion counts and agreement of the abuse label with the human flag."""
     hit = scoring.has_cue(tokens(F.col("text")), list(lx.TOPIC_TERMS["abuse"]))
-    rows = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id")
+    rows = t.texts.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id")
     g = rows.groupBy("toxic", hit.cast("int").alias("predicted")).agg(F.count("*").alias("n"))
     w = Window.partitionBy()  # four rows at most
     right = F.sum(F.when(F.col("toxic") == F.col("predicted"), F.col("n")).otherwise(0)).over(w)
@@ -86,7 +86,7 @@ def ai_filter_predicate(t):
     """Several named predicates from one scan, used as flags and as the filter."""
     w = F.col("words")
     lic = scoring.has_cue(w, ["licensed", "license"])
-    flags = with_words(t.documents, "doc_id").select(
+    flags = with_words(t.texts, "doc_id").select(
         "doc_id", scoring.has_cue(w, list(lx.TOPIC_TERMS["abuse"])).alias("is_abusive"),
         F.col("text").rlike(pii.PATTERNS["EMAIL"]).alias("has_email"), lic.alias("mentions_license"), (lic & scoring.has_cue(w, ["under"])).alias("is_license"),
     )
@@ -103,7 +103,7 @@ SELECT doc_id, round((p + n) / sqrt((p + n) * (p + n) + {lx.ALPHA}), 6) AS score
 )
 def ai_sentiment_overall(t):
     pos, neg = scoring.polarity(F.col("words"), lx.SAMPLE_SENTIMENT)
-    s = with_words(t.documents, "doc_id").select("doc_id", pos.alias("p"), neg.alias("n"))
+    s = with_words(t.texts, "doc_id").select("doc_id", pos.alias("p"), neg.alias("n"))
     return s.select("doc_id", F.round(scoring.squash(F.col("p") + F.col("n")), 6).alias("score"), scoring.sentiment_label(F.col("p"), F.col("n")).alias("sentiment"))
 
 
@@ -148,7 +148,7 @@ def sentiment_formulas(t):
     plus = F.size(F.filter(w, lambda x: x.isin(*[k for k, v in lx.SAMPLE_SENTIMENT.items() if v > 0])))
     minus = F.size(F.filter(w, lambda x: x.isin(*[k for k, v in lx.SAMPLE_SENTIMENT.items() if v < 0])))
     pos, neg = scoring.polarity(w, lx.SAMPLE_SENTIMENT)
-    s = with_words(t.documents, "doc_id", "n_chars").select("doc_id", plus.alias("a"), minus.alias("b"), (pos + neg).alias("x"), (F.col("n_chars") % 5 + 1).alias("r"))
+    s = with_words(t.texts, "doc_id", "n_chars").select("doc_id", plus.alias("a"), minus.alias("b"), (pos + neg).alias("x"), (F.col("n_chars") % 5 + 1).alias("r"))
     squashed = scoring.squash(F.col("x"))
     return s.select(
         "doc_id",
@@ -177,7 +177,7 @@ def _field_sql(p: list[str]) -> str:
 @query("SELECT doc_id, " + ", ".join(f"nullif({_field_sql(p)}, '') AS {n}" for n, p in FIELDS.items()) + " FROM documents")
 def ai_extract_fields(t):
     cols = [F.coalesce(*[F.nullif(F.regexp_extract("text", p, 0), F.lit("")) for p in ps]).alias(n) for n, ps in FIELDS.items()]
-    return t.documents.select("doc_id", *cols)
+    return t.texts.select("doc_id", *cols)
 
 
 @query(
@@ -190,7 +190,7 @@ SELECT doc_id, round(CASE WHEN e = 0 THEN 0 ELSE 1.0 / e END, 6) AS email_score,
 def ai_extract_scored(t):
     """Score = 1 / number of different candidates; low confidence goes to review."""
     found = lambda name: F.size(F.array_distinct(F.regexp_extract_all("text", F.lit(FIELDS[name][0]), F.lit(0))))
-    m = t.documents.select("doc_id", found("email").alias("e"), found("number").alias("n"))
+    m = t.texts.select("doc_id", found("email").alias("e"), found("number").alias("n"))
     score = lambda c: F.when(F.col(c) == 0, 0.0).otherwise(1.0 / F.col(c))
     low = lambda c: (F.col(c) > 0) & (score(c) < 0.8)
     return m.select(
@@ -202,7 +202,7 @@ def ai_extract_scored(t):
 @query(f"SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{NUMBER_PATTERN}'))) AS number FROM documents")
 def ai_extract_list(t):
     found = F.array_distinct(F.regexp_extract_all("text", F.lit(NUMBER_PATTERN), F.lit(0)))
-    return t.documents.select("doc_id", F.explode(found).alias("number"))
+    return t.texts.select("doc_id", F.explode(found).alias("number"))
 
 
 _LANGS = {k: {w: 1.0 for w in v} for k, v in lx.LANGUAGE_PROFILES.items()}
@@ -216,7 +216,7 @@ SELECT doc_id, lang, predicted, CASE WHEN predicted = 'en' THEN 'direct' WHEN pr
 )
 def ai_translate_route(t):
     label = F.coalesce(scoring.best_label(F.col("words"), _LANGS), F.lit("unknown"))
-    p = with_words(t.documents, "doc_id", "lang").select("doc_id", "lang", label.alias("predicted"), F.ceil(F.length("text") / 4).alias("est"))
+    p = with_words(t.texts, "doc_id", "lang").select("doc_id", "lang", label.alias("predicted"), F.ceil(F.length("text") / 4).alias("est"))
     known = F.col("predicted")
     return p.select(
         "doc_id", "lang", "predicted", F.when(known == "en", "direct").when(known == "unknown", "review").otherwise("translate").alias("route"),
@@ -226,7 +226,7 @@ def ai_translate_route(t):
 
 @query(f"SELECT doc_id, {q.redact('text')} AS redacted FROM documents")
 def ai_redact_mask(t):
-    return t.documents.select("doc_id", pii.redact(F.col("text")).alias("redacted"))
+    return t.texts.select("doc_id", pii.redact(F.col("text")).alias("redacted"))
 
 
 _DETECT = " UNION ALL ".join(
@@ -241,7 +241,7 @@ SELECT doc_id, category, value, CAST(strpos(text, value) - 1 AS INTEGER) AS firs
 )
 def ai_redact_detect(t):
     """Inventory of detected values with the offset of the first one."""
-    spans = t.documents.select("doc_id", F.explode(pii.detect(F.col("text"))).alias("s"))
+    spans = t.texts.select("doc_id", F.explode(pii.detect(F.col("text"))).alias("s"))
     return spans.groupBy("doc_id", F.col("s.category").alias("category"), F.col("s.text").alias("value")).agg(
         F.min("s.start").alias("first_start"), F.count("*").alias("occurrences")
     )
@@ -257,7 +257,7 @@ def ai_redact_chunked(t, size: int = 1000):
     """Split without overlap, redact each piece, join in order: all inside the row."""
     last = F.greatest(F.ceil(F.length("text") / size).cast("int") - 1, F.lit(0))
     pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("text"), i * size + 1, F.lit(size)))
-    return t.documents.select("doc_id", F.array_join(F.transform(pieces, lambda p: pii.redact(p)), "").alias("redacted"))
+    return t.texts.select("doc_id", F.array_join(F.transform(pieces, lambda p: pii.redact(p)), "").alias("redacted"))
 
 
 @query(
@@ -273,7 +273,7 @@ UNION ALL SELECT doc_id, text FROM documents WHERE length(text) <= 110
 UNION ALL SELECT doc_id, '' FROM documents WHERE length(text) > 110 AND len({q.toks('text')}) = 0"""
 )
 def ai_summarize_row(t):
-    return summarize_rows(t.documents, "doc_id", "text")
+    return summarize_rows(t.texts, "doc_id", "text")
 
 
 @query(
@@ -287,7 +287,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_
 SELECT source, string_agg(sentence, ' ' ORDER BY rn) AS summary FROM r WHERE rn <= 3 GROUP BY 1"""
 )
 def ai_summarize_agg(t):
-    return summarize_groups(t.documents, "source", "doc_id", "text")
+    return summarize_groups(t.texts, "source", "doc_id", "text")
 
 
 _AGG_SQL = f"""
@@ -304,7 +304,7 @@ SELECT source, term, docs, round(score, 6) AS score, rank FROM r WHERE rank <= 5
 def ai_agg_instruction(t):
     """What sets a group apart: its five most distinctive terms with their support."""
     words = F.array_distinct(tokens(F.col("text")))
-    return distinctive_terms(t.documents, "source", words, 5)
+    return distinctive_terms(t.texts, "source", words, 5)
 
 
 _TRIAGE = q.toks("text")
@@ -318,7 +318,7 @@ SELECT doc_id, coalesce(category, 'other') AS category, severity,
        severity >= 2 AS sla_risk, {q.sents('text')}[1] AS headline FROM s"""
 )
 def ai_triage_struct(t):
-    return triage(with_words(t.documents, "doc_id")).select("doc_id", "triage.*")
+    return triage(with_words(t.texts, "doc_id")).select("doc_id", "triage.*")
 
 
 def triage(df):
@@ -346,7 +346,7 @@ SELECT * FROM s WHERE severity >= 2 OR churn_risk"""
 )
 def ai_rubric_score(t):
     w = F.col("words")
-    s = with_words(t.documents, "doc_id").select(
+    s = with_words(t.texts, "doc_id").select(
         "doc_id", scoring.cue_level(w, lx.SEVERITY).alias("severity"), scoring.has_cue(w, lx.CHURN_CUES).alias("churn_risk"),
         scoring.has_cue(w, lx.SUPPORT_CUES).alias("mentions_support"), F.get(sentences(F.col("text")), F.lit(0)).alias("headline"),
     )
@@ -405,7 +405,7 @@ SELECT lang, count(*) AS documents, CAST(sum(CAST(ceil(length(text) / 4.0) AS BI
 FROM documents GROUP BY 1"""
 )
 def token_count(t):
-    per = token_estimates(t.documents, "lang")
+    per = token_estimates(t.texts, "lang")
     return per.groupBy("lang").agg(
         F.count("*").alias("documents"), F.sum("by_chars").alias("by_chars"), F.max("by_chars").alias("max_by_chars"),
         F.sum("by_words").alias("by_words"), F.sum("by_pieces").alias("by_pieces"),
@@ -430,7 +430,7 @@ SELECT lang, round(pieces_per_word, 6) AS pieces_per_word, round(chars_per_word,
        round(pieces_per_word / (SELECT pieces_per_word FROM g WHERE lang = 'en'), 6) AS ratio_to_en FROM g"""
 )
 def token_lang_ratio(t):
-    rows = t.documents.select(
+    rows = t.texts.select(
         "lang", F.size(F.regexp_extract_all("text", F.lit(lx.PIECE_PATTERN), F.lit(0))).alias("p"), word_count(F.col("text")).alias("w"),
         F.length("text").alias("c"), F.octet_length("text").alias("b"),
     )
@@ -449,7 +449,7 @@ SELECT source, calls, CAST(tin AS BIGINT) AS input_tokens, round((tin * 3.0 + ca
        round(30 * (tin * 3.0 + calls * 150 * 15.0) / 1e6, 6) AS monthly_cost, round(calls * 3 * 40 * 3.0 / 1e6, 6) AS few_shot_overhead FROM g"""
 )
 def token_cost(t, out_tokens: int = 150, shots: int = 3, shot_tokens: int = 40):
-    g = token_estimates(t.documents, "source").groupBy("source").agg(F.count("*").alias("calls"), F.sum("by_chars").alias("input_tokens"))
+    g = token_estimates(t.texts, "source").groupBy("source").agg(F.count("*").alias("calls"), F.sum("by_chars").alias("input_tokens"))
     day = (F.col("input_tokens") * lx.PRICE_IN + F.col("calls") * out_tokens * lx.PRICE_OUT) / 1e6
     return g.select(
         "source", "calls", "input_tokens", F.round(day, 6).alias("daily_cost"), F.round(30 * day, 6).alias("monthly_cost"),
@@ -468,7 +468,7 @@ def context_budget(t, budget: int = 18_000):
     """Texts in rank order until the budget is full, the last one cut.
 
     Each text holds a character at least, so the first `budget` rows decide."""
-    rows = t.documents.where(F.length("text") > 0).select("source", "doc_id", "text", F.length("text").alias("n"))
+    rows = t.texts.where(F.length("text") > 0).select("source", "doc_id", "text", F.length("text").alias("n"))
     head = top_n(rows, ["source"], [F.col("doc_id")], budget, "rank")
     before = F.sum("n").over(Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1))
     left = F.lit(budget) - F.coalesce(before, F.lit(0))
@@ -491,7 +491,7 @@ def _bpe_sql(rounds: int) -> str:
 
 @query(_bpe_sql(4))
 def bpe_merge_counts(t, rounds: int = 4):
-    merges = learn_merges(t.documents, "text", rounds)
+    merges = learn_merges(t.texts, "text", rounds)
     return values(t.spark, "round INT, left_symbol STRING, right_symbol STRING, pair_count BIGINT", merges)
 
 
@@ -519,7 +519,7 @@ UNION ALL SELECT doc_id, anchor, jaccard, 'near' FROM r WHERE rn = 1"""
 
 @query(_near_sql())
 def near_duplicate_text(t):
-    return near_duplicates(t.documents, "doc_id", "text")
+    return near_duplicates(t.texts, "doc_id", "text")
 
 
 _NEG = q.in_list(lx.NEGATIONS)
@@ -542,7 +542,7 @@ SELECT doc_id, round(plain, 4) AS plain, round(signed, 4) AS signed, round(plain
 )
 def lexicon_pitfalls(t):
     w = F.col("words")
-    s = with_words(t.documents, "doc_id").select(
+    s = with_words(t.texts, "doc_id").select(
         "doc_id", F.round(scoring.weighted_sum(w, lx.SAMPLE_SENTIMENT), 4).alias("plain"), F.round(scoring.signed_sum(w, lx.SAMPLE_SENTIMENT, lx.NEGATIONS), 4).alias("signed")
     )
     return s.withColumn("negation_matters", F.col("plain") != F.col("signed"))
@@ -559,7 +559,7 @@ def best_evidence(t):
     """(item_id, doc_id, shared): the document sharing most long words with each passage."""
     long = lambda c: F.filter(F.array_distinct(tokens(c)), lambda w: F.length(w) >= 6)
     items = t.benchmark.select("item_id", F.explode(long(F.col("text"))).alias("tok"))
-    docs = t.documents.select("doc_id", F.explode(long(F.col("text"))).alias("tok"))
+    docs = t.texts.select("doc_id", F.explode(long(F.col("text"))).alias("tok"))
     hits = docs.join(items, "tok").groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"))
     return top_n(hits, ["item_id"], [F.desc("shared"), F.col("doc_id")], 1).drop("rn")
 
@@ -582,7 +582,7 @@ SELECT item_id, doc_id, missing, overlap, CASE WHEN missing = '' AND overlap >=
 )
 def claim_check(t):
     rows = best_evidence(t).join(t.benchmark.select("item_id", F.col("text").alias("claim")), "item_id")
-    rows = rows.join(t.documents.select("doc_id", F.col("text").alias("evidence")), "doc_id")
+    rows = rows.join(t.texts.select("doc_id", F.col("text").alias("evidence")), "doc_id")
     out = check_claims(rows, "claim", "evidence")
     return out.select("item_id", "doc_id", "missing", "overlap", F.when(F.col("supported"), "SUPPORTED").otherwise("UNSUPPORTED").alias("verdict"))
 
@@ -599,7 +599,7 @@ SELECT lang, count(*) AS claims, CAST(sum(bad) AS BIGINT) AS unsupported, round(
 def hallucination_rate(t):
     """Share of passage sentences that the best evidence does not support."""
     claims = t.benchmark.select("item_id", F.explode(sentences(F.col("text"))).alias("claim"))
-    rows = best_evidence(t).join(claims, "item_id").join(t.documents.select("doc_id", "lang", F.col("text").alias("evidence")), "doc_id")
+    rows = best_evidence(t).join(claims, "item_id").join(t.texts.select("doc_id", "lang", F.col("text").alias("evidence")), "doc_id")
     bad = F.when(F.col("supported"), 0).otherwise(1)
     return check_claims(rows, "claim", "evidence", 0.9).groupBy("lang").agg(
         F.count("*").alias("claims"), F.sum(bad).alias("unsupported"), F.round(F.avg(bad), 6).alias("rate")
@@ -623,5 +623,5 @@ def enrich_cached(t):
     """Two runs over one cache: the second asks the provider for nothing new."""
     cache = scratch(t.spark, "responses")
     models = ["small", "large"]
-    first = enrich(t.documents.select("doc_id", "source", "text"), "text", stub_provider, models, cache)
+    first = enrich(t.texts.select("doc_id", "source", "text"), "text", stub_provider, models, cache)
     return first.select("doc_id", "source", "model", "value", "error")

@@ -29,6 +29,7 @@ SCHEMAS: dict[str, str] = {
 }
 
 EMBEDDING_DIMS = 64
+SPREAD_BELOW_BYTES = 256 * 1024 * 1024
 
 
 class Tables:
@@ -41,6 +42,17 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
+    @property
+    def texts(self) -> DataFrame:
+        """documents for text-heavy work. A small file often is a single row
+        group, which one task would read and process alone; its rows are spread
+        by key. A large input has enough splits and is left as it is."""
+        df = self.documents
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size >= SPREAD_BELOW_BYTES:
+            return df
+        return df.repartition(self.spark.sparkContext.defaultParallelism, "doc_id")
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
