@@ -31,7 +31,7 @@ def src_csv_typed(t):
     path = scratch(t.spark, "orders_csv")
     stamp = "yyyy-MM-dd HH:mm:ss"
     t.orders.write.option("header", True).option("timestampNTZFormat", stamp).csv(path)
-    loaded = read_csv(t.spark, path, SCHEMAS["orders"], timestampNTZFormat=stamp)
+    loaded = written(read_csv(t.spark, path, SCHEMAS["orders"], timestampNTZFormat=stamp), "orders_loaded")
     good, _ = split_rejects(loaded)
     return good.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 

@@ -35,7 +35,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, **options) -> DataFram
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit, rejected raw lines) of `read_csv`."""
+    """(rows that fit, rejected raw lines) of a table loaded by `read_csv`."""
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
