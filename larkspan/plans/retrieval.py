@@ -117,7 +117,7 @@ WITH {_VEC},
 w AS (SELECT item_id, doc_id, similarity, {q.claim_words('b.text')} AS qw, list_distinct({q.claim_words('x.text')}) AS dw
   FROM (SELECT * FROM vec WHERE rank <= 8) JOIN benchmark b USING (item_id) JOIN documents x USING (doc_id)),
 c AS (SELECT item_id, doc_id, similarity, round(len(list_filter(qw, lambda w: len(list_filter(dw, lambda e: starts_with(e, left(w, 5)))) > 0)) / greatest(len(qw), 1), 6) AS coverage FROM w),
-s AS (SELECT *, round(0.5 * similarity + 0.5 * coverage, 6) AS score FROM c),
+s AS (SELECT *, round(0.5 * similarity + 0.5 * coverage, 7) AS score FROM c),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT * FROM r WHERE rank <= 3"""
 )
@@ -127,7 +127,7 @@ def search_rerank(t, wide: int = 8, keep: int = 3):
     rows = first.join(t.benchmark.select("item_id", F.col("text").alias("qt")), "item_id").join(t.texts.select("doc_id", F.col("text").alias("dt")), "doc_id")
     cov = F.round(coverage(scoring.claim_words(F.col("qt")), F.array_distinct(scoring.claim_words(F.col("dt")))), 6)
     scored = rows.select("item_id", "doc_id", "similarity", cov.alias("coverage"))
-    scored = scored.withColumn("score", F.round(0.5 * F.col("similarity") + 0.5 * F.col("coverage"), 6))
+    scored = scored.withColumn("score", F.round(0.5 * F.col("similarity") + 0.5 * F.col("coverage"), 7))  # half of six decimals: no ties
     out = top_n(scored, ["item_id"], [F.desc("score"), F.col("doc_id")], keep, "rank")
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
