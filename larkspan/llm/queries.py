@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspan.llm import bpe
+from larkspan.llm import bpe, ring
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,6 +31,12 @@ def op1_byte_bpe(t):
     return bpe.encode_documents(t.documents, RANKS, public_tokenizers.PATTERN)
 
 
+@_query()
+def op9_ring(t):
+    placed = ring.place(t.documents, shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "moved")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
