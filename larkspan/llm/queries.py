@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, ring
+from larkspan.llm import bpe, mixing, ring
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -31,6 +31,11 @@ def op1_byte_bpe(t):
     return bpe.encode_documents(t.documents, RANKS, public_tokenizers.PATTERN)
 
 
+@_query(mixing.oracle())
+def op5_mix(t):
+    return mixing.mix(t.documents).drop("at", "pick")
+
+
 @_query()
 def op9_ring(t):
     placed = ring.place(t.documents, shards=40)
