@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, mixing, ring
+from larkspan.llm import bpe, linededup, mixing, ring
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -31,6 +31,12 @@ def op1_byte_bpe(t):
     return bpe.encode_documents(t.documents, RANKS, public_tokenizers.PATTERN)
 
 
+@_query(linededup.oracle())
+def op2_lines(t):
+    left = linededup.dedup_lines(t.documents, counts=True)
+    return left.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("text_sha256"))
+
+
 @_query(mixing.oracle())
 def op5_mix(t):
     return mixing.mix(t.documents).drop("at", "pick")
