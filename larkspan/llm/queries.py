@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, linededup, mixing, ring
+from larkspan.llm import bpe, linededup, mixing, ring, simhash
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,6 +37,11 @@ def op2_lines(t):
     return left.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("text_sha256"))
 
 
+@_query()
+def op3_simhash(t):
+    return simhash.near_groups(t.documents)
+
+
 @_query(mixing.oracle())
 def op5_mix(t):
     return mixing.mix(t.documents).drop("at", "pick")
