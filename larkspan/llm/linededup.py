@@ -7,7 +7,9 @@ stands earlier in order of (doc_id, line number); the earliest stays.
 * Equal lines meet by a 128-bit hash and are counted down to the first place.
 * Two different lines within one edit agree in their first or last half, so only
   lines that share a half with another line go on. This loses no pair.
-* Each of them emits the hashes of all its variants with one character taken
+* Of these, hashes of all variants with one character taken out are counted, and
+  those that two lines have go on.
+* Each line emits the hashes of all its variants with one character taken
   out. Lines whose variants at the same position are equal differ in that
   character only; a line equal to another's variant lacks one character of it.
   Either way all lines under one key are within one edit of one line, so the
@@ -37,11 +39,17 @@ from larkspan.llm.worker import pieces_of
 from larkspan.storage import written
 
 MIN_CHARS = 16
-BLANK = "^[ \\t\\r\\f\\u000B]+|[ \\t\\r\\f\\u000B]+$"
+SPACES = " \t\r\f\v"
+SMALL_ROWS = 1 << 20  # a table counted to be no longer is broadcast, a longer one joined plainly
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, BLANK, "")
+    return F.btrim(line, F.lit(SPACES))
+
+
+def _sized(table: DataFrame) -> DataFrame:
+    """For a written table of narrow rows: with a broadcast hint if it is counted to be small."""
+    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -91,6 +99,19 @@ def variants(line: str) -> list[tuple[np.ndarray, np.uint64]]:
     return out
 
 
+def variant_hashes(lines: DataFrame) -> DataFrame:
+    """(k, h1): the first hash of a line and of every variant of it, places left out."""
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces_of(batch, 1 << 18):
+                every = [np.unique(np.append(v, whole)) for v, whole in (variants(line)[0] for line in part.column("line").to_pylist())]
+                at = pa.array(np.repeat(np.arange(len(every)), [len(v) for v in every]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(every).view(np.int64)), part.column("h1").take(at)], names=["k", "h1"])
+
+    return lines.select("h1", "line").mapInArrow(run, "k BIGINT, h1 BIGINT")
+
+
 def variant_keys(lines: DataFrame) -> DataFrame:
     """(k1, k2, kind, row...): kind >= 0 is the place of the changed character, -1 a line that lacks a
     character of others, -2 such an other."""
@@ -129,13 +150,18 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     firsts = every.select("h1", "h2", place.alias("place"), halves.alias("halves")).groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
     firsts = written(firsts, "lines")
     keyed = firsts.select(F.explode("halves").alias("half"), "h1", "h2")
-    shared = keyed.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("half")
-    may = keyed.join(shared, "half", "left_semi").select("h1", "h2").distinct()
+    shared = written(keyed.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("half"), "halves")
+    may = keyed.join(_sized(shared), "half", "left_semi").select("h1", "h2").distinct()
     # each line's text is read again at its first place
-    wanted = firsts.join(may, ["h1", "h2"], "left_semi").select("h1", "h2", "place")
-    lined = every.where(long).join(wanted.withColumnsRenamed({"h1": "__h1", "h2": "__h2"}), (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & F.col(key).eqNullSafe(F.col("place.key")) & (F.col("line_no") == F.col("place.line_no")))
+    wanted = written(firsts.join(may, ["h1", "h2"], "left_semi").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), "place"), "wanted")
+    at = (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & F.col(key).eqNullSafe(F.col("place.key")) & (F.col("line_no") == F.col("place.line_no"))
+    lined = every.where(long).join(_sized(wanted), at)
     lined = written(lined.select("h1", "h2", "place", "line").dropDuplicates(["h1", "h2"]), "candidates")
+    # of all variants only those go on that two lines have, whatever their places
+    met = variant_hashes(lined).groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("k")
+    met = written(met, "variants")
     keys = variant_keys(lined.select("h1", "h2", "place", "line"))
+    keys = written(keys.join(_sized(met), F.col("k1") == F.col("k"), "left_semi"), "keys")
     least = F.min(F.struct("place", "h1", "h2"))
     # a changed character: everything under (variant, place of the change)
     same = keys.where("kind >= 0").groupBy("k1", "k2", "kind").agg(least.alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -158,7 +184,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
 def _decided(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
     """(key, line_no, kind) for the lines that go: 1 copies, 2 near copies."""
     firsts, near = repeated_lines(docs, key, text, min_chars)
-    every = lines_of(docs, key, text).select(key, "line_no", "h1", "h2").distinct()
+    every = lines_of(docs, key, text).select(key, "line_no", "h1", "h2")
     near = near.select("h1", "h2", F.lit(True).alias("near"))
     state = firsts.join(near, ["h1", "h2"], "left")
     first = F.col(key).eqNullSafe(F.col("place.key")) & (F.col("line_no") == F.col("place.line_no"))
@@ -169,12 +195,12 @@ def _decided(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
 def _by_document(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
     gone = _decided(docs, key, text, min_chars)
     return gone.groupBy(F.col(key).alias("__key")).agg(
-        F.collect_list(F.when(F.col("kind") == 1, F.col("line_no"))).alias("__copies"), F.collect_list(F.when(F.col("kind") == 2, F.col("line_no"))).alias("__near")
+        F.collect_set(F.when(F.col("kind") == 1, F.col("line_no"))).alias("__copies"), F.collect_set(F.when(F.col("kind") == 2, F.col("line_no"))).alias("__near")
     )
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, counts: bool = False) -> DataFrame:
-    """The documents without repeated lines; with `counts`, also n_lines, n_copies and n_near.
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, counts: str | None = None) -> DataFrame:
+    """The documents without repeated lines; with `counts`, a prefix, also n_lines, n_copies and n_near.
 
     What is collected per document is the numbers of its own lines."""
     gone = _by_document(docs, key, text, min_chars)
@@ -187,16 +213,16 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
     kept = F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n")
     new = F.when(F.size(gone_at) > 0, kept).otherwise(docs[text])
     cols = [new.alias(c) if c == text else docs[c] for c in docs.columns]
-    if counts:
+    if counts is not None:
         filled = F.filter(lines, lambda line: _trimmed(line) != "")
-        cols += [F.coalesce(F.size(filled), F.lit(0)).cast("bigint").alias("n_lines"), F.size("__copies").cast("bigint").alias("n_copies"), F.size("__near").cast("bigint").alias("n_near")]
+        cols += [F.coalesce(F.size(filled), F.lit(0)).cast("bigint").alias(f"{counts}n_lines"), F.size("__copies").cast("bigint").alias(f"{counts}n_copies"), F.size("__near").cast("bigint").alias(f"{counts}n_near")]
     return x.select(*cols)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents without repeated lines; a document of which no word is left goes."""
-    left = dedup_lines(docs, counts=True)
-    return left.where("n_lines = 0 or n_lines > n_copies + n_near").select(*docs.columns)
+    left = dedup_lines(docs, counts="__")
+    return left.where("__n_lines = 0 or __n_lines > __n_copies + __n_near").select(*docs.columns)
 
 
 def oracle(table: str = "documents", min_chars: int = MIN_CHARS) -> str:

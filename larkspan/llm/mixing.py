@@ -138,13 +138,17 @@ def times(b: Column) -> Column:
 def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS, most: int = 2, **options) -> DataFrame:
     """The mix as documents: for each round that takes some of a document's words, a row
     with those words and the white space before them. A document taken whole once keeps its text."""
-    extra = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    x = mix(docs, block=block, most=most, keep=["text", *extra], **options).where("taken > 0")
+    fixed = ("doc_id", "text", "source", "n_chars")
+    names = {c: f"__x{i}" for i, c in enumerate(docs.columns) if c not in fixed}  # out of the way of the mix's own columns
+    x = docs.withColumnsRenamed(names).withColumn("__kept_source", F.col("source"))
+    x = mix(x, block=block, most=most, keep=["text", "__kept_source", *names.values()], **options).where("taken > 0")
     words = F.regexp_extract_all(F.col("text"), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
     x = x.withColumn("__words", words).withColumn("__round", F.explode(F.sequence(F.lit(1), F.lit(most))))
     chosen = F.filter("__words", lambda _, i: times(F.floor((F.col("at") + i) / block)) >= F.col("__round"))
     x = x.withColumn("__words", chosen).where(F.size("__words") > 0).withColumn("text", F.array_join("__words", ""))
-    return x.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    back = {v: k for k, v in names.items()}
+    x = x.select("doc_id", "text", F.col("__kept_source").alias("source"), F.length("text").cast("bigint").alias("n_chars"), *names.values())
+    return x.withColumnsRenamed(back).select(*docs.columns)
 
 
 def oracle(table: str = "documents") -> str:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, linededup, mixing, ring, simhash
+from larkspan.llm import bpe, langid, linededup, mixing, ring, simhash
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,7 +33,7 @@ def op1_byte_bpe(t):
 
 @_query(linededup.oracle())
 def op2_lines(t):
-    left = linededup.dedup_lines(t.documents, counts=True)
+    left = linededup.dedup_lines(t.documents, counts="")
     return left.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -47,6 +47,11 @@ def op5_mix(t):
     return mixing.mix(t.documents).drop("at", "pick")
 
 
+@_query()
+def op6_language(t):
+    return langid.identify(t.documents)
+
+
 @_query()
 def op9_ring(t):
     placed = ring.place(t.documents, shards=40)

@@ -54,7 +54,8 @@ def test_equals_brute_force(spark, seed):
     docs = [(i, "\n".join(rnd.choice(["", "  ", rnd.choice(pool), " " + rnd.choice(pool) + "\r"]) for _ in range(rnd.randint(1, 8)))) for i in range(60)]
     docs += [(100, None), (101, ""), (102, "\n \n"), (103, pool[0] + "\n" + pool[0]), (None, pool[1] + "\n" + pool[2])]
     docs += [(104, "one very common line of text\n" + str(i)) for i in range(1)] + [(105 + i, "one very common line of text") for i in range(30)]
-    df = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id bigint, text string, line string, h1 int")
+    df = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id bigint, text string, line string, n_lines int")
+    assert ld.without_repeats(df).columns == df.columns
     got = sorted(((r.doc_id, r.text) for r in ld.dedup_lines(df, min_chars=8).collect()), key=str)
     assert got == sorted(brute(docs, 8), key=str)
 

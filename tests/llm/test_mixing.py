@@ -74,8 +74,8 @@ def test_hot_source_nulls_and_repeats(spark):
 
 def test_mixed_documents_hold_the_taken_words(spark):
     rnd = random.Random(6)
-    docs = [(i, "\n".join(" ".join(f"w{i}.{j}.{k}" for k in range(rnd.randint(1, 30))) for j in range(3)), "en", f"s{i % 4}", 0) for i in range(120)]
-    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = [(i, "\n".join(" ".join(f"w{i}.{j}.{k}" for k in range(rnd.randint(1, 30))) for j in range(3)), "en", f"s{i % 4}", 0, "z") for i in range(120)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint, taken string")
     taken = {r.doc_id: r.taken for r in mixing.mix(df).collect()}
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
