@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, langid, linededup, mixing, ring, simhash
+from larkspan.llm import bpe, langid, linededup, mixing, mixlm, ring, simhash
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -58,6 +58,11 @@ def op9_ring(t):
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "moved")
 
 
+@_query()
+def op10_mixlm(t):
+    return mixlm.score(t.documents)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
