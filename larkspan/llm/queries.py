@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, langid, linededup, mixing, mixlm, ring, simhash, toxicity
+from larkspan.llm import bpe, langid, linededup, mixing, mixlm, onebit, ring, simhash, toxicity
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -52,6 +52,11 @@ def op6_language(t):
     return langid.identify(t.documents)
 
 
+@_query()
+def op7_onebit(t):
+    return onebit.search(t.embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
 @_query()
 def op8_toxicity(t):
     return toxicity.toxicity(t.documents, t.labels)
