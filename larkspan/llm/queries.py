@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, langid, linededup, mixing, mixlm, onebit, ring, simhash, toxicity
+from larkspan.llm import bpe, crosspolytope, langid, linededup, mixing, mixlm, onebit, ring, simhash, toxicity
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -42,6 +42,11 @@ def op3_simhash(t):
     return simhash.near_groups(t.documents)
 
 
+@_query()
+def op4_crosspolytope(t):
+    return crosspolytope.near_vectors(t.embeddings)
+
+
 @_query(mixing.oracle())
 def op5_mix(t):
     return mixing.mix(t.documents).drop("at", "pick")
