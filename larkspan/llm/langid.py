@@ -36,7 +36,7 @@ LANDMARKS = 32
 RIDGE = 1e-3
 SMALL_ROWS = 1 << 16  # sample keys are broadcast up to here, joined plainly beyond
 UNKNOWN = "und"
-FLOOR = 0.01  # least evidence (regression value without its constant) by which a language may claim a text
+FLOOR = 0.45  # least share of a text's grams that some landmark must have for a language to claim it
 
 
 def letters() -> np.ndarray:
@@ -141,7 +141,7 @@ def learn(docs: DataFrame, may_learn: Column, key: str = "doc_id", text: str = "
 def predict(docs: DataFrame, model, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
     """(key, keep..., lang_pred, score, evidence) for every row. Row-local.
 
-    `prefix` goes before the names of the new columns; `evidence` is the winner's value without its constant: what the text's own grams add."""
+    `prefix` goes before the names of the new columns; `evidence` is the share of the text's grams that some landmark has."""
     slim = docs.select(key, *keep, *[text] * (text not in keep))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     added = [prefix + c for c in ("lang_pred", "score", "evidence")]
@@ -151,6 +151,7 @@ def predict(docs: DataFrame, model, key: str = "doc_id", text: str = "text", kee
     def run(batches):
         names, weights, constant = shared.value or ([UNKNOWN], None, None)
         grams = Grams()
+        known = None if weights is None else weights.any(axis=1)
         for batch in batches:
             for part in pieces_of(batch, 1 << 21):
                 sets = [grams(t) for t in part.column(text).to_pylist()] if weights is not None else [np.empty(0, np.int64)] * part.num_rows
@@ -164,7 +165,8 @@ def predict(docs: DataFrame, model, key: str = "doc_id", text: str = "text", kee
                     best = values.argmax(axis=1)
                     pred[some] = np.array(names, object)[best]
                     won = values[np.arange(len(best)), best]
-                    score[some], evidence[some] = np.clip((won + 1) / 2, 0, 1), won - constant[best]
+                    score[some] = np.clip((won + 1) / 2, 0, 1)
+                    evidence[some] = np.add.reduceat(known[np.concatenate([sets[i] for i in some])], starts, dtype=np.int64) / sizes[some]
                 out = [part.column(c) for c in kept] + [pa.array(pred, pa.string()), pa.array(score), pa.array(evidence)]
                 yield pa.RecordBatch.from_arrays(out, names=[*kept, *added])
 
