@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from larkspan.llm.worker import pieces_of, stash
 
-WINDOW, STRIDE = 16, 8
+WINDOW, STRIDE = 16, 12
 WORDS, GRAMS, DIM, HIDDEN = 1 << 13, 1 << 14, 8, 8
 RUNS = (3, 6)
 PER_LABEL = 1000
@@ -47,16 +47,29 @@ LEAST_TEXTS = 5  # training texts that must hold a word for a vector of its own
 SEED = 8
 THRESHOLD = 0.3
 EDGE = b".,;:!?%$&*#|\"'()[]{}<>-_=+/\\@^~`"
-HELD = 1 << 16  # distinct words a worker remembers
+LONGEST = 64  # bytes of a word that count
+HELD = 1 << 17  # distinct words a worker remembers
 CHUNK = 4096  # windows rated at a time
 
 
-def word_inputs(word: bytes) -> tuple[int, list[int]]:
-    """(place of the word, places of its character runs)."""
-    w = word.strip(EDGE) or word
-    framed = b"<" + w[:64] + b">"
-    runs = {crc32(framed[i : i + n], 7) % (GRAMS - 1) for n in RUNS for i in range(max(1, len(framed) - n + 1))}
-    return 1 + crc32(w) % (WORDS - 1), [1 + r for r in sorted(runs)]
+def hashed_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of each word, places of its character runs end to end, how many runs)."""
+    framed = [b"<" + (w.strip(EDGE) or w)[:LONGEST] + b">" for w in words]
+    place = np.fromiter((1 + crc32(f) % (WORDS - 1) for f in framed), np.int64, len(framed))
+    data = np.frombuffer(b"".join(framed), np.uint8).astype(np.uint64)
+    lengths = np.array([len(f) for f in framed])
+    of, end = np.repeat(np.arange(len(framed)), lengths), np.repeat(np.cumsum(lengths), lengths)
+    owners, runs = [], []
+    with np.errstate(over="ignore"):
+        for n in RUNS:
+            at = np.flatnonzero(np.arange(len(data)) + n <= end)
+            h = np.full(len(at), n, np.uint64)
+            for j in range(n):
+                h = h * np.uint64(0x9E3779B97F4A7C15) + data[at + j]
+            owners.append(of[at])
+            runs.append(((h ^ h >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % (GRAMS - 1) + 1)
+    owners, runs = np.concatenate(owners), np.concatenate(runs)
+    return place, runs[np.argsort(owners, kind="stable")], np.bincount(owners, minlength=len(framed))
 
 
 def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,21 +152,19 @@ def gradients(p, x, mask, want):
     return g, d_x
 
 
-def common_places(texts: list[list[bytes]], known: dict) -> tuple[np.ndarray, np.ndarray]:
+def common_places(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Which places of words and of runs at least LEAST_TEXTS texts hold."""
     words, runs = np.zeros(WORDS, np.int64), np.zeros(GRAMS, np.int64)
     for t in texts:
-        met = [known[w] for w in set(t)]
-        words[list({w for w, _ in met})] += 1
-        runs[list({g for _, gs in met for g in gs})] += 1
+        place, of, _ = hashed_inputs(list(set(t)))
+        words[np.unique(place)] += 1
+        runs[np.unique(of)] += 1
     return words >= LEAST_TEXTS, runs >= LEAST_TEXTS
 
 
-def inputs_of(words, common) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word place, run places end to end, how many runs) with rare ones at place 0."""
-    found = [word_inputs(w) for w in words]
-    sizes = np.array([len(g) for _, g in found])
-    place, runs = np.array([w for w, _ in found]), np.concatenate([g for _, g in found])
+def inputs_of(words: list[bytes], common) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`hashed_inputs` with rare words and runs at place 0."""
+    place, runs, sizes = hashed_inputs(words)
     return np.where(common[0][place], place, 0), np.where(common[1][runs], runs, 0), sizes
 
 
@@ -168,9 +179,9 @@ class Lexicon:
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """Row numbers; forgets everything before if the words wouldn't fit."""
-        new = set(words) - self.row.keys()
+        new = list(set(words) - self.row.keys())
         if len(self.row) + len(new) > HELD:
-            self.row, new = {}, set(words)
+            self.row, new = {}, list(set(words))
             if len(new) > len(self.rows):
                 self.rows = np.empty((len(new), 6 * HIDDEN), np.float32)
         if new:
@@ -211,9 +222,7 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float, rounds: in
     p = new_weights(rng)
     if len(set(labels.tolist())) < 2:
         return p | {"always": np.array(share)}
-    known = {w: word_inputs(w) for t in texts for w in t}
-    common = common_places(texts, known)
-    del known
+    common = common_places(texts)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     p["common"] = common
     sizes = np.array([len(t) for t in texts])
