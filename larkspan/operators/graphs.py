@@ -77,17 +77,15 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def peel(pairs: DataFrame) -> tuple[int, int]:
     """(nodes removed, nodes left) after removing nodes without incoming edges until none is left."""
-    left = cut(pairs.select("a", "b").where("a <> b").distinct())
+    left = cut(pairs.select("a", "b").distinct())
     total = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().count()
-    loops = pairs.where("a = b").select("a").distinct()
-    stuck_loops = not loops.isEmpty()
     before, after = -1, left.count()
     while after not in (0, before):
         targets = left.select(F.col("b").alias("t")).distinct()
         left = cut(left.join(targets, left["a"] == targets["t"], "left_semi"))
         before, after = after, left.count()
-    # edges that never go away keep their end points (and what hangs below them)
-    on_cycle = left.select("a").union(left.select("b")).distinct().count() if after else (1 if stuck_loops else 0)
+    # edges that never go away keep their end points (and what hangs below them); a loop never goes away
+    on_cycle = left.select("a").union(left.select("b")).distinct().count() if after else 0
     return total - on_cycle, on_cycle
 
 

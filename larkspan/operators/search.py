@@ -12,12 +12,11 @@ K1, B = 1.2, 0.75  # fixed values of BM25
 RRF = 60  # fixed value of reciprocal rank fusion
 DIMS = 256
 DECIMALS = 6
-MIN_TERM = 4
 
 
 def search_terms(text: Column) -> Column:
-    """Index terms: words of four letters or more (short function words carry no signal)."""
-    return F.filter(tokens(text), lambda w: F.length(w) >= MIN_TERM)
+    """Index terms: every word; the inverse document frequency weighs common ones down."""
+    return tokens(text)
 
 
 def bucket(word: Column) -> Column:

@@ -65,7 +65,7 @@ def eval_hit_mrr(t):
 @query(
     f"""
 WITH p AS (SELECT u.turn, u.text AS question, a.text AS answer FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'),
-s AS (SELECT turn, len({q.toks('answer')}) < 5 AS abstained, len(list_intersect(list_filter({q.toks('question')}, lambda w: length(w) >= 4), {q.toks('answer')})) > 0 AS correct FROM p)
+s AS (SELECT turn, len({q.toks('answer')}) < 5 AS abstained, len(list_intersect({q.toks('question')}, {q.toks('answer')})) > 0 AS correct FROM p)
 SELECT turn, count(*) AS answers, round(avg(CASE WHEN correct THEN 1 ELSE 0 END), 6) AS accuracy, round(avg(CASE WHEN abstained THEN 1 ELSE 0 END), 6) AS abstention FROM s GROUP BY 1"""
 )
 def eval_answer_accuracy(t):
@@ -73,7 +73,7 @@ def eval_answer_accuracy(t):
     u = t.conversations.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
     a = t.conversations.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
     p = u.join(a, ["conv_id", "turn"])
-    keys = F.filter(tokens(F.col("question")), lambda w: F.length(w) >= 4)
+    keys = tokens(F.col("question"))
     s = p.select("turn", (F.size(tokens(F.col("answer"))) < 5).alias("abstained"), F.arrays_overlap(keys, tokens(F.col("answer"))).alias("correct"))
     share = lambda c: F.round(F.avg(F.when(F.col(c), 1).otherwise(0)), 6)
     return s.groupBy("turn").agg(F.count("*").alias("answers"), share("correct").alias("accuracy"), share("abstained").alias("abstention"))
@@ -124,7 +124,7 @@ def eval_rag_triad(t):
 
 _LINKS = f"""
 WITH {_BM25}, {_VEC},
-need AS (SELECT item_id, unnest(list_distinct(list_filter({q.toks('text')}, lambda w: length(w) >= 6))) AS fact FROM benchmark),
+need AS (SELECT item_id, unnest(list_distinct({q.toks('text')})) AS fact FROM benchmark),
 got AS (SELECT DISTINCT 'lexical' AS method, item_id, unnest(list_distinct({q.toks('text')})) AS fact FROM lex JOIN documents USING (doc_id) WHERE rank <= 3
   UNION SELECT DISTINCT 'vector', item_id, unnest(list_distinct({q.toks('text')})) FROM vec JOIN documents USING (doc_id) WHERE rank <= 3),
 cov AS (SELECT n.item_id, count(DISTINCT n.fact) AS required, count(DISTINCT CASE WHEN method = 'lexical' THEN n.fact END) AS lexical, count(DISTINCT CASE WHEN method = 'vector' THEN n.fact END) AS vector
@@ -133,7 +133,7 @@ cov AS (SELECT n.item_id, count(DISTINCT n.fact) AS required, count(DISTINCT CAS
 
 def link_coverage(t, k: int = 3):
     """(item_id, required, lexical, vector): required words found by each method."""
-    need = t.benchmark.select("item_id", F.explode(F.array_distinct(F.filter(tokens(F.col("text")), lambda w: F.length(w) >= 6))).alias("fact"))
+    need = t.benchmark.select("item_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("fact"))
     lists = {"lexical": bm25_top(t.benchmark, "item_id", t.texts, "doc_id", k), "vector": hashed_top(t, k)}
     hits = None
     for name, ranked in lists.items():

@@ -118,19 +118,18 @@ WITH d AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}
 b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}0-9]+')) AS toks FROM benchmark),
 rare AS (SELECT item_id, unnest(toks) AS tok FROM b),
 dt AS (SELECT doc_id, unnest(toks) AS tok FROM d),
-hit AS (SELECT item_id, doc_id, count(*) AS shared FROM rare JOIN dt USING (tok) WHERE length(tok) >= 6 GROUP BY 1, 2)
-SELECT item_id, doc_id, shared FROM hit WHERE shared >= 6"""
+hit AS (SELECT item_id, doc_id, count(*) AS shared FROM rare JOIN dt USING (tok) GROUP BY 1, 2)
+SELECT item_id, doc_id, shared FROM hit JOIN b USING (item_id) WHERE shared * 5 >= len(toks) * 3"""
 )
-def join_semantic_theta(t, min_shared: int = 6, min_len: int = 6):
-    """`ON texts_overlap(a, b)` as an equi-join on content words plus a count.
-
-    Words on the item side are gathered per word first, so a document word is
-    looked up once, and short function words never generate candidates."""
-    long_words = lambda c: F.filter(distinct_tokens(c), lambda w: F.length(w) >= min_len)
-    items = t.benchmark.select("item_id", F.explode(long_words(F.col("text"))).alias("tok"))
-    docs = t.documents.select("doc_id", F.explode(long_words(F.col("text"))).alias("tok"))
-    pairs = docs.join(items, "tok").groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"))
-    return pairs.where(F.col("shared") >= min_shared)
+def join_semantic_theta(t, min_fifths: int = 3):
+    """`ON texts_overlap(a, b)` as an equi-join on words plus a count.
+
+    A pair overlaps if the text holds three fifths of the item's distinct words, whatever their length."""
+    item = t.benchmark.select("item_id", distinct_tokens(F.col("text")).alias("toks"))
+    words = item.select("item_id", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
+    docs = t.documents.select("doc_id", F.explode(distinct_tokens(F.col("text"))).alias("tok"))
+    pairs = docs.join(words, "tok").groupBy("item_id", "n", "doc_id").agg(F.count("*").alias("shared"))
+    return pairs.where(F.col("shared") * 5 >= F.col("n") * min_fifths).select("item_id", "doc_id", "shared")
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")

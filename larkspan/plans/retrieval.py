@@ -56,7 +56,7 @@ def search_filtered(t):
     return best.select(F.col("label").cast("int").alias("query_id"), "vec_id", "similarity", "rank")
 
 
-_TERMS = lambda text: f"list_filter({q.toks(text)}, lambda w: length(w) >= 4)"
+_TERMS = q.toks
 _BM25 = f"""
 qt AS (SELECT item_id, unnest(list_distinct({_TERMS('text')})) AS term FROM benchmark),
 body AS MATERIALIZED (SELECT doc_id, {_TERMS('text')} AS ws FROM documents),
@@ -205,13 +205,13 @@ def top_context(t, k: int = 3):
 
 @query(
     f"""
-WITH {_BM25}, c AS (SELECT item_id, rank, '[' || doc_id || ' / ' || source || '] ' || left(text, 200) AS line FROM lex JOIN documents USING (doc_id) WHERE rank <= 3)
+WITH {_BM25}, c AS (SELECT item_id, rank, '[' || doc_id || ' / ' || source || '] ' || text AS line FROM lex JOIN documents USING (doc_id) WHERE rank <= 3)
 SELECT b.item_id, 'Context:' || chr(10) || string_agg(line, chr(10) ORDER BY rank) || chr(10) || 'Question: ' || any_value(b.text) AS prompt
 FROM c JOIN benchmark b USING (item_id) GROUP BY 1"""
 )
 def prompt_assembly(t):
     """One prompt per question: ranked context lines, then the question."""
-    line = F.concat(F.lit("["), F.col("doc_id"), F.lit(" / "), F.col("source"), F.lit("] "), F.left("text", F.lit(200)))
+    line = F.concat(F.lit("["), F.col("doc_id"), F.lit(" / "), F.col("source"), F.lit("] "), F.col("text"))
     rows = top_context(t).join(t.texts.select("doc_id", "source", "text"), "doc_id").select("item_id", "rank", line.alias("line"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", "line")))
     ctx = rows.groupBy("item_id").agg(F.array_join(F.transform(ordered, lambda r: r["line"]), "\n").alias("ctx"))
@@ -236,9 +236,9 @@ def provenance_citations(t):
 @query(
     f"""
 WITH h AS ({HISTORY_SQL}),
-w AS (SELECT conv_id, turn, unnest(list_filter({q.toks('history')}, lambda w: length(w) >= 4)) AS term FROM h),
+w AS (SELECT conv_id, turn, unnest({q.toks('history')}) AS term FROM h),
 tf AS (SELECT conv_id, turn, term, count(*) AS tf FROM w GROUP BY 1, 2, 3),
-dfs AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT conv_id, turn, unnest(list_filter({q.toks('text')}, lambda w: length(w) >= 4)) AS term FROM conversations) GROUP BY 1),
+dfs AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT conv_id, turn, unnest({q.toks('text')}) AS term FROM conversations) GROUP BY 1),
 n AS (SELECT count(*) AS n FROM conversations),
 s AS (SELECT conv_id, turn, term, round(tf * ln(n / df), 6) AS score FROM tf JOIN dfs USING (term), n),
 r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, term) AS rn FROM s)
@@ -247,7 +247,7 @@ WHERE rn <= 3 AND c.role = 'user' GROUP BY 1, 2, c.text"""
 )
 def query_rewrite_history(t):
     """A follow-up question extended by the three strongest terms of the six messages before it."""
-    term_list = lambda c: F.filter(tokens(c), lambda w: F.length(w) >= 4)
+    term_list = tokens
     conv = t.conversations
     hist = last_k_before(conv, "conv_id", "turn", F.col("text"), 6, 100_000).where("role = 'user'")
     terms = hist.select("conv_id", "turn", F.explode(F.flatten(F.transform("history", term_list))).alias("term"))

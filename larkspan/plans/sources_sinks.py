@@ -32,7 +32,8 @@ def src_csv_typed(t):
     stamp = "yyyy-MM-dd HH:mm:ss"
     t.orders.write.option("header", True).option("timestampNTZFormat", stamp).csv(path)
     loaded = written(read_csv(t.spark, path, SCHEMAS["orders"], timestampNTZFormat=stamp), "orders_loaded")
-    good, _ = split_rejects(loaded)
+    good, rejects = split_rejects(loaded)
+    rejects.write.parquet(scratch(t.spark, "orders_rejects"))
     return good.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
@@ -241,18 +242,24 @@ def audit_row_counts(t):
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
 
 
-@query()
+def _columns(table: str) -> list[str]:
+    return [part.strip().split(" ")[0] for part in SCHEMAS[table].split(",")]
+
+
+@query(
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM {name}" for name in SCHEMAS for c in _columns(name)
+    )
+)
 def cat_introspect(t):
-    """Registered views and their columns, from the catalogue's own commands."""
-    names = list(SCHEMAS)
-    for name in names:
-        getattr(t, name).createOrReplaceTempView(f"cat_{name}")
-    parts = [
-        t.spark.sql(f"DESCRIBE TABLE cat_{name}").select(
-            F.lit(name).alias("table_name"), F.col("col_name").alias("column_name"), "data_type"
-        )
-        for name in names
-    ]
+    """Tables and columns with their rows and nulls: one aggregation per table, turned into a row per column."""
+    parts = []
+    for name in SCHEMAS:
+        cols = _columns(name)
+        counts = getattr(t, name).agg(F.count("*").alias("n_rows"), *[F.count(c).alias(c) for c in cols])
+        each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in cols])
+        rows = counts.select("n_rows", F.explode(each).alias("c"))
+        parts.append(rows.select(F.lit(name).alias("table_name"), "c.column_name", "n_rows", (F.col("n_rows") - F.col("c.n")).alias("n_nulls")))
     return reduce(DataFrame.unionByName, parts)
 
 

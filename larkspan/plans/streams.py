@@ -59,7 +59,7 @@ def st_cdc_insert_delete(t):
 
 @query(
     f"""
-SELECT term, count(DISTINCT doc_id) AS docs, CAST(count(*) AS BIGINT) AS uses FROM (SELECT doc_id, unnest(list_filter({q.toks('text')}, lambda w: length(w) >= 4)) AS term FROM documents) GROUP BY 1"""
+SELECT term, count(DISTINCT doc_id) AS docs, CAST(count(*) AS BIGINT) AS uses FROM (SELECT doc_id, unnest({q.toks('text')}) AS term FROM documents) GROUP BY 1"""
 )
 def st_target_lag(t):
     """Inverted index kept up by appending the postings of each batch of new texts."""
@@ -178,7 +178,7 @@ def st_late_data(t):
     first, out, ck = scratch(t.spark, "feed"), scratch(t.spark, "late"), scratch(t.spark, "ck")
     t.events.write.parquet(first)
     done = [run_to_files(daily(event_time(file_stream(t.spark, first, SCHEMAS["events"]))), out, ck)]
-    late = t.events.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")).coalesce(1)
+    late = t.events.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
     late.write.mode("append").parquet(first)
     done.append(run_to_files(daily(event_time(file_stream(t.spark, first, SCHEMAS["events"]))), out, ck))
     dropped = sum(s.numRowsDroppedByWatermark for d in done for p in d.recentProgress for s in p.stateOperators)

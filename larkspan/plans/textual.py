@@ -247,17 +247,12 @@ def ai_redact_detect(t):
     )
 
 
-@query(
-    f"""
-WITH c AS (SELECT doc_id, i, substring(text, CAST(i * 1000 + 1 AS BIGINT), 1000) AS chunk FROM (
-  SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil(length(text) / 1000.0) AS BIGINT), 1))) AS i FROM documents))
-SELECT doc_id, string_agg({q.redact('chunk')}, '' ORDER BY i) AS redacted FROM c GROUP BY 1"""
-)
-def ai_redact_chunked(t, size: int = 1000):
-    """Split without overlap, redact each piece, join in order: all inside the row."""
-    last = F.greatest(F.ceil(F.length("text") / size).cast("int") - 1, F.lit(0))
-    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("text"), i * size + 1, F.lit(size)))
-    return t.texts.select("doc_id", F.array_join(F.transform(pieces, lambda p: pii.redact(p)), "").alias("redacted"))
+@query(f"SELECT doc_id, {q.redact('text')} AS redacted FROM documents")
+def ai_redact_chunked(t):
+    """Split at line feeds, redact each piece, join in order: all inside the row. No pattern
+    spans a line feed, so no value is cut and the result is that of the whole text."""
+    pieces = F.split("text", "\n", -1)
+    return t.texts.select("doc_id", F.array_join(F.transform(pieces, lambda p: pii.redact(p)), "\n").alias("redacted"))
 
 
 @query(
@@ -549,17 +544,16 @@ def lexicon_pitfalls(t):
 
 
 EVIDENCE_CTE = f"""
-qt AS (SELECT item_id, unnest(list_distinct(list_filter({q.toks('text')}, lambda w: length(w) >= 6))) AS tok FROM benchmark),
+qt AS (SELECT item_id, unnest(list_distinct({q.toks('text')})) AS tok FROM benchmark),
 dt AS (SELECT doc_id, unnest(list_distinct({q.toks('text')})) AS tok FROM documents),
 hit AS (SELECT item_id, doc_id, count(*) AS shared FROM qt JOIN dt USING (tok) GROUP BY 1, 2),
 ev AS MATERIALIZED (SELECT item_id, doc_id, shared FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id) AS rn FROM hit) WHERE rn = 1)"""
 
 
 def best_evidence(t):
-    """(item_id, doc_id, shared): the document sharing most long words with each passage."""
-    long = lambda c: F.filter(F.array_distinct(tokens(c)), lambda w: F.length(w) >= 6)
-    items = t.benchmark.select("item_id", F.explode(long(F.col("text"))).alias("tok"))
-    docs = t.texts.select("doc_id", F.explode(long(F.col("text"))).alias("tok"))
+    """(item_id, doc_id, shared): the document sharing most words with each passage."""
+    items = t.benchmark.select("item_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("tok"))
+    docs = t.texts.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("tok"))
     hits = docs.join(items, "tok").groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"))
     return top_n(hits, ["item_id"], [F.desc("shared"), F.col("doc_id")], 1).drop("rn")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +24,13 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
-    """CSV with a header, quoted fields and empty strings as NULL.
+    """CSV with a header, quoted fields (line feeds included) and empty strings as NULL.
 
-    Rows that do not fit the schema keep their raw text in `_corrupt_record`.
+    A quoted line feed needs whole files, so a file is one split: export many files of moderate size. Rows that do not fit the schema keep their raw text in `_corrupt_record`.
     """
     full = T.StructType(T._parse_datatype_string(schema).fields + [T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.schema(full).options(
-        header=True, quote='"', escape='"', nullValue="", multiLine=False, mode="PERMISSIVE",
+        header=True, quote='"', escape='"', nullValue="", multiLine=True, mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
     )
     return reader.options(**options).csv(path)
@@ -53,9 +55,10 @@ def conform(df: DataFrame, schema: str, renames: dict[str, str] | None = None) -
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Files as rows: relative path, size, last modification. File bytes are not read."""
+    """Files as rows: path below `path`, size, last modification. File bytes are not read."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    name = F.substring_index("path", "/", -1)
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).rstrip("/") + "/"
+    name = F.substring_index("path", root, -1)
     return df.select(
         name.alias("relative_path"),
         F.col("length").alias("size"),

@@ -1,14 +1,12 @@
 """Durable scratch space shared by all executors.
 
 Iterative jobs cut their lineage by writing their state; sinks, streams and
-caches write and read back too. All of it lies below one folder: on a cluster
-the one named in `spark.checkpoint.dir`; only a local session without that
-setting gets a temporary folder of its own.
+caches write and read back too. All of it lies below one folder: the one named
+in `spark.checkpoint.dir`, else one beside the tables of the warehouse.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current is not None:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="larkspan-")
-    sc.setCheckpointDir(path)
+    sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/larkspan-scratch")
     return sc.getCheckpointDir().rstrip("/")
 
 

@@ -181,3 +181,44 @@ def test_replay_changes_nothing(spark):
 @pytest.mark.parametrize("name", ["st_windowed_counts", "st_cdc_insert_delete", "st_audit_log", "chunk_recursive", "enrich_cached", "udf_python_file"])
 def test_runs(spark, name):
     assert load_all()[name](spark, SF).count() > 0
+
+
+@pytest.mark.parametrize(
+    "edges,free,stuck",
+    [
+        ([("x", "x"), ("y", "y"), ("p", "q")], 2, 2),
+        ([("b", "c"), ("c", "b"), ("x", "x")], 0, 3),
+        ([("a", "b"), ("b", "b"), ("b", "d")], 1, 2),
+        ([("a", "b"), ("b", "c")], 3, 0),
+    ],
+)
+def test_peel_keeps_loops(spark, edges, free, stuck):
+    from larkspan.operators.graphs import peel
+
+    assert peel(spark.createDataFrame(edges, "a string, b string")) == (free, stuck)
+
+
+def test_short_words_find_a_text(spark):
+    from larkspan.operators.search import bm25_top
+
+    docs = spark.createDataFrame([(1, "the AI API and SQL of it"), (2, "a long text about something else")], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(7, "AI API SQL")], "item_id bigint, text string")
+    assert [r.doc_id for r in bm25_top(asked, "item_id", docs, "doc_id", 5).collect()] == [1]
+
+
+def test_listing_keeps_the_path_below_the_root(spark, tmp_path):
+    from larkspan.sources.files import listing
+
+    for d in ("a", "b"):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "same.txt").write_text(d)
+    assert sorted(r.relative_path for r in listing(spark, str(tmp_path)).collect()) == ["a/same.txt", "b/same.txt"]
+
+
+def test_quoted_line_feeds_are_read(spark, tmp_path):
+    from larkspan.sources.files import read_csv, split_rejects
+
+    (tmp_path / "t.csv").write_text('id,text\n1,"two\nlines"\nx,bad\n2,one\n')
+    good, bad = split_rejects(read_csv(spark, str(tmp_path / "t.csv"), "id INT, text STRING").cache())
+    assert sorted((r.id, r.text) for r in good.collect()) == [(1, "two\nlines"), (2, "one")]
+    assert bad.count() == 1
