@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larkspan.llm.worker import pieces_of, stash
 
-CACHE_PIECES = 1 << 18  # pieces a worker remembers; the store is emptied when full
+CACHE_PIECES = 1 << 19  # pieces a worker remembers; the store is emptied when full
 CACHE_CHARS = 48  # longer pieces are not remembered
 
 

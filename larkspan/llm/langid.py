@@ -23,9 +23,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspan.llm.sampling import crc_is, smallest
 from larkspan.llm.worker import pieces_of, stash
 
 SPECTRUM = 4
@@ -110,16 +111,10 @@ def fit(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS) -
     return names, weights, constant
 
 
-def crc_class(key: str, n: int) -> Column:
-    return F.crc32(F.col(key).cast("string").cast("binary")) % n
-
-
 def learn(docs: DataFrame, may_learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS):
     """The model from rows where `may_learn` holds and `lang` is known, or None without any."""
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
     keys = docs.where(may_learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, key)
-    keys = keys.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= per_language)
-    keys = keys.select(F.col(key).alias("__key"), F.col(lang).alias("__lang"), "__r").distinct()
+    keys = smallest(keys, lang, key, per_language).select(F.col(key).alias("__key"), F.col(lang).alias("__lang"), "__r").distinct()
     small = keys.count() <= SMALL_ROWS
     rows = docs.select(key, text, lang).join(F.broadcast(keys) if small else keys, F.col(key).eqNullSafe(F.col("__key")) & (F.col(lang) == F.col("__lang")))
 
@@ -175,7 +170,7 @@ def predict(docs: DataFrame, model, key: str = "doc_id", text: str = "text", kee
 
 def identify(docs: DataFrame, folds: int = 3, held: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, keep..., held_out, lang_pred, score): learned from the rows whose crc32(doc_id) mod `folds` isn't `held`."""
-    is_held = F.coalesce(crc_class("doc_id", folds) == held, F.lit(False))
+    is_held = crc_is("doc_id", folds, held)
     model = learn(docs, ~is_held)
     return predict(docs, model, keep=keep).select("doc_id", *keep, is_held.alias("held_out"), "lang_pred", "score")
 
@@ -184,7 +179,7 @@ def known_language(docs: DataFrame, floor: float = FLOOR) -> DataFrame:
     """The documents of which a learned language claims the text; `und` and unclaimed ones go.
     If no language can be learned, all with a letter stay."""
     others = tuple(c for c in docs.columns if c != "doc_id")
-    model = learn(docs, F.coalesce(crc_class("doc_id", 3) != 1, F.lit(True)))
+    model = learn(docs, ~crc_is("doc_id", 3, 1))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     scored = predict(docs.select("doc_id", *others), model, keep=others, prefix="__")

@@ -30,9 +30,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspan.llm.sampling import crc_is, smallest
 from larkspan.llm.worker import pieces_of, stash
 
 WINDOW, STRIDE = 16, 12
@@ -273,16 +274,11 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float, rounds: in
     return p | {"level": ab}
 
 
-def crc_is(key: str, n: int, r: int) -> Column:
-    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % n == r, F.lit(False))
-
-
 def learn(docs: DataFrame, labels: DataFrame, folds: int, held: int, per_label: int = PER_LABEL):
     """The weights, or None if there is nothing to learn from."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~crc_is("doc_id", folds, held)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = known.join(docs.where(F.length("text") > 0).select("doc_id"), "doc_id", "left_semi")
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= per_label).select(F.col("doc_id").alias("__id"), "toxic", "__r")
+    chosen = smallest(rows, "toxic", "doc_id", per_label).select(F.col("doc_id").alias("__id"), "toxic", "__r")
     share = known.agg(F.avg("toxic").alias("s")).first().s
     if share is None:
         return None
