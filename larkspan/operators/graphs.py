@@ -100,15 +100,18 @@ def modularity(pairs: DataFrame, labels: DataFrame, gamma: float = 1.0) -> DataF
     return inside.join(F.broadcast(per)).select(q.alias("modularity"))
 
 
-def communities(pairs: DataFrame, gamma: float = 1.0, rounds: int = 6) -> DataFrame:
+def communities(pairs: DataFrame, gamma: float = 1.0) -> DataFrame:
     """(node, community): weighted label moves by modularity gain, then connected.
 
     In a round only half of the nodes (by hash) may move, which keeps two
-    neighbours from swapping for ever. Ties go to the smallest label."""
+    neighbours from swapping for ever. Ties go to the smallest label. It ends
+    when neither half moves, or when four rounds don't raise the modularity."""
     degree = cut(pairs.groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("k")))
     two_m = degree.agg(F.sum("k").alias("two_m"))
     labels = degree.select("node", "k", F.col("node").alias("community"))
-    for r in range(rounds):
+    r = quiet = 0
+    reached = float("-inf")
+    while quiet < 2:
         totals = labels.groupBy("community").agg(F.sum("k").alias("tot"))
         near = pairs.join(labels.select(F.col("node").alias("b"), "community"), "b").groupBy(F.col("a").alias("node"), "community").agg(F.sum("weight").alias("w"))
         own = labels.select("node", "community", F.lit(0).cast("bigint").alias("w"))
@@ -122,8 +125,13 @@ def communities(pairs: DataFrame, gamma: float = 1.0, rounds: int = 6) -> DataFr
         fresh = cut(best.select("node", "k", F.when(moves, F.col("p.community")).otherwise(F.col("current")).alias("community"), "current"))
         moved = fresh.where("community <> current").count()
         labels = fresh.drop("current")
-        if moved == 0 and r > 0:
-            break
+        quiet = quiet + 1 if moved == 0 else 0
+        r += 1
+        if r % 4 == 0:
+            now = modularity(pairs, labels.select("node", "community"), gamma).first()["modularity"]
+            if now is None or now <= reached + 1e-9:
+                break
+            reached = now
     return connected(pairs, labels.select("node", "community"))
 
 
@@ -143,7 +151,7 @@ def hierarchy(pairs: DataFrame, gammas: tuple[float, ...] = (1.0, 2.0)) -> DataF
     current = pairs
     parent = None
     for level, gamma in enumerate(gammas):
-        lab = cut(communities(current, gamma, 4))
+        lab = cut(communities(current, gamma))
         missing = None if parent is None else parent.join(lab.select("node"), "node", "left_anti").select("node", F.col("node").alias("community"))
         lab = lab if missing is None else lab.unionByName(missing)
         named = lab.select("node", F.lit(level).alias("level"), F.concat(F.lit(f"L{level}."), "community").alias("community"))

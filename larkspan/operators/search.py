@@ -30,7 +30,7 @@ def hashed(text: Column) -> Column:
 
 def embed_sparse(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, dim, weight): unit-length hashed term frequencies, one row per non-zero dim."""
-    counted = df.repartition(key).select(key, F.explode(hashed(F.col(text))).alias("dim")).groupBy(key, "dim").agg(F.count("*").alias("tf"))
+    counted = df.select(key, F.explode(hashed(F.col(text))).alias("dim")).groupBy(key, "dim").agg(F.count("*").alias("tf"))
     norms = counted.groupBy(key).agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
     return counted.join(norms, key).select(key, "dim", (F.col("tf") / F.col("norm")).alias("weight"))
 

@@ -98,7 +98,7 @@ def job_graph_rag(t):
     rels = written(kg.relations(t.texts, found), "relations")
     e = written(kg.edges(rels), "edges")
     pairs = cut(kg.undirected(e))
-    members = cut(graphs.communities(pairs, rounds=4))
+    members = cut(graphs.communities(pairs))
     ids = members.groupBy("community").agg(F.xxhash64("community").alias("id")).select("community", "id")
     facts = written(community_facts(rels, members.join(ids, "community").select("node", F.col("id").alias("community"))), "facts")
     answer = map_reduce(t, facts, 25, 33, 3).select(F.lit("global").alias("mode"), F.col("item_id").cast("string").alias("subject"), F.col("point").alias("result"), F.col("rank"))

@@ -122,7 +122,7 @@ def test_components(small_graph):
 
 def test_communities_invariants(small_graph):
     edges, pairs = small_graph
-    lab = graphs.communities(pairs, rounds=3).collect()
+    lab = graphs.communities(pairs).collect()
     got = {r["node"]: r["community"] for r in lab}
     assert len(lab) == len(got) == len(brute_components(edges))  # exclusive and exhaustive
     inside = [(a, b) for a, b in edges if got[f"n{a:02d}"] == got[f"n{b:02d}"]]
