@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larkspan.llm.worker import pieces_of, stash
 
-CACHE_PIECES = 1 << 19  # pieces a worker remembers; the store is emptied when full
+CACHE_PARTS = 1 << 18  # parts of texts a worker remembers; a store is emptied when full
+CACHE_PIECES = 1 << 14  # matches it remembers, for parts of several
 CACHE_CHARS = 48  # longer pieces are not remembered
 
 
@@ -192,11 +193,11 @@ def shared_encoder(spark: SparkSession, path: str):
 class Known(dict):
     """Ids by string, worked out when first asked for; emptied when full."""
 
-    def __init__(self, of):
-        self.of = of
+    def __init__(self, of, limit: int):
+        self.of, self.limit = of, limit
 
     def __missing__(self, key: str) -> str:
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= self.limit:
             self.clear()
         ids = self.of(key)
         if len(key) <= CACHE_CHARS:
@@ -215,9 +216,9 @@ def text_encoder(shared, pattern: str):
     held = stash("bpe")
     if held.get("of") != (path, pattern):
         encoder, find = Encoder(ranks, splits), regex.compile(pattern).findall
-        pieces = Known(lambda piece: ",".join(map(str, encoder.piece(piece.encode()))))
-        opening = Known(lambda part: ",".join(map(pieces.__getitem__, find(part))))
-        spaced = Known(lambda part: ",".join(map(pieces.__getitem__, find(" " + part))))
+        pieces = Known(lambda piece: ",".join(map(str, encoder.piece(piece.encode()))), CACHE_PIECES)
+        opening = Known(lambda part: ",".join(map(pieces.__getitem__, find(part))), CACHE_PIECES)
+        spaced = Known(lambda part: ",".join(map(pieces.__getitem__, find(" " + part))), CACHE_PARTS)
         held.update(of=(path, pattern), opening=opening, spaced=spaced, token_of={str(r): t for r, t in encoder.bytes_of.items()})
     opening, spaced, token_of = held["opening"], held["spaced"], held["token_of"]
     runs, inside = re.compile(r"\s | \s|\A | \Z").search, re.compile(r"(?<=\S) (?=\S)").split
