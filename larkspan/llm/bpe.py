@@ -29,6 +29,8 @@ from larkspan.llm.worker import pieces_of, stash
 
 CACHE_PARTS = 1 << 18  # parts of texts a worker remembers; a store is emptied when full
 CACHE_PIECES = 1 << 14  # matches it remembers, for parts of several
+CACHE_PAIRS = 1 << 17  # pairs of tokens it remembers
+SLICE = 1 << 21  # bytes of texts held as Python objects at a time
 CACHE_CHARS = 48  # longer pieces are not remembered
 
 
@@ -89,7 +91,7 @@ class Encoder:
     def may_stand(self, a: int, b: int) -> bool:
         known = self.fits.get(a << 20 | b)
         if known is None:
-            if len(self.fits) > 1 << 20:
+            if len(self.fits) >= CACHE_PAIRS:
                 self.fits.clear()
             known = self.fits[a << 20 | b] = not any(
                 (r := self.ranks.get(x + y)) is not None and r < x_until and r <= y_until
@@ -247,7 +249,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
     def run(batches):
         encode, decode = text_encoder(shared, pattern)
         for batch in batches:
-            for part in pieces_of(batch):
+            for part in pieces_of(batch, SLICE):
                 ids = [encode(t or "") for t in part.column(text).to_pylist()]
                 out = [
                     pa.array([i.count(",") + 1 if i else 0 for i in ids], pa.int64()),
