@@ -236,10 +236,11 @@ def text_encoder(shared, pattern: str):
     return encode, decode
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), with_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), with_ids: bool = False, remember: bool = True) -> DataFrame:
     """(key, keep..., n_tokens, ids_sha256, decoded_sha256[, ids]) for each row's whole text.
 
-    Row-local: one pass in Arrow batches, no shuffle."""
+    Row-local: one pass in Arrow batches, no shuffle. With `remember`, a worker keeps the encoder
+    and its stores for its next task; without, it gives them up, for jobs whose other stages need the room."""
     shared = shared_encoder(docs.sparkSession, path)
     slim = docs.select(key, *keep, text)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.drop(text).schema)
@@ -259,5 +260,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
                 if with_ids:
                     out.append(pa.array([[int(x) for x in i.split(",")] if i else [] for i in ids], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names[: len(names) - len(out)]] + out, names=names)
+        if not remember:
+            stash("bpe").clear()
 
     return slim.mapInArrow(run, schema)
