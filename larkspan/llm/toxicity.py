@@ -2,9 +2,11 @@
 
 A word enters as the images of two learned vectors: one of the word itself
 (hashed), one added up over its hashed runs of 3 and 6 characters (bytes, the
-word's ends marked). Words and runs that few training texts hold share place 0. Two gated recurrent
-layers read a window of WINDOW words from either end; attention pools their
-states, and a logistic unit rates the window. Windows begin every STRIDE words
+word's ends marked). A word of over LONGEST bytes (text without spaces, a URL)
+enters as several inputs: its pieces of PIECE bytes, which begin every HOP bytes
+and hold all its runs. Words and runs that few training texts hold share place 0. Two gated recurrent
+layers read a window of WINDOW inputs from either end; attention pools their
+states, and a logistic unit rates the window. Windows begin every STRIDE inputs
 and cover the whole text; a text is as toxic as its worst window.
 
 Labels say that a text is toxic, not where. So training picks, in each round,
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from larkspan.llm.sampling import crc_is, smallest
 from larkspan.llm.worker import pieces_of, stash
 
-WINDOW, STRIDE = 16, 12
+WINDOW, STRIDE = 16, 8
 WORDS, GRAMS, DIM, HIDDEN = 1 << 13, 1 << 14, 8, 8
 RUNS = (3, 6)
 PER_LABEL = 1000
@@ -48,14 +50,34 @@ LEAST_TEXTS = 5  # training texts that must hold a word for a vector of its own
 SEED = 8
 THRESHOLD = 0.3
 EDGE = b".,;:!?%$&*#|\"'()[]{}<>-_=+/\\@^~`"
-LONGEST = 64  # bytes of a word that count
+LONGEST = 64  # bytes of a word that is one input
+PIECE, HOP = 16, 8  # bytes of a piece of a longer word, and from one piece to the next
 HELD = 1 << 17  # distinct words a worker remembers
 CHUNK = 4096  # windows rated at a time
+SLICE = 1 << 14  # words hashed at a time
+
+
+def inputs_in(text: str | None) -> tuple[list[bytes], np.ndarray | None]:
+    """(inputs, the word that each is of): the words, long ones as overlapping pieces that begin
+    with a space, which no word has. None if every input is a word."""
+    words = (text or "").encode().lower().split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words, None
+    found, of = [], []
+    for i, w in enumerate(words):
+        if len(w) <= LONGEST:
+            parts = [w]
+        else:
+            framed = b"<" + (w.strip(EDGE) or w) + b">"
+            parts = [b" " + framed[k : k + PIECE] for k in range(0, max(1, len(framed) - PIECE + HOP), HOP)]
+        found += parts
+        of += [i] * len(parts)
+    return found, np.array(of)
 
 
 def hashed_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place of each word, places of its character runs end to end, how many runs)."""
-    framed = [b"<" + (w.strip(EDGE) or w)[:LONGEST] + b">" for w in words]
+    framed = [w[1:] if w[0] == 32 else b"<" + (w.strip(EDGE) or w) + b">" for w in words]
     place = np.fromiter((1 + crc32(f) % (WORDS - 1) for f in framed), np.int64, len(framed))
     data = np.frombuffer(b"".join(framed), np.uint8).astype(np.uint64)
     lengths = np.array([len(f) for f in framed])
@@ -74,7 +96,7 @@ def hashed_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, first word) of the windows of texts with so many words each."""
+    """(text, first input) of the windows of texts with so many inputs each."""
     n = np.where(sizes > 0, np.maximum(0, -(-(sizes - WINDOW) // STRIDE)) + 1, 0)
     text = np.repeat(np.arange(len(sizes)), n)
     return text, (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * STRIDE
@@ -186,15 +208,16 @@ class Lexicon:
             if len(new) > len(self.rows):
                 self.rows = np.empty((len(new), 6 * HIDDEN), np.float32)
         if new:
-            place, runs, sizes = inputs_of(new, self.p["common"])
-            sums = np.add.reduceat(self.image["gram"][runs], np.cumsum(sizes) - sizes, axis=0)
             at = len(self.row)
-            self.rows[at : at + len(new)] = self.image["word"][place] + sums / np.sqrt(sizes)[:, None] + self.bias
+            for i in range(0, len(new), SLICE):
+                place, runs, sizes = inputs_of(new[i : i + SLICE], self.p["common"])
+                sums = np.add.reduceat(self.image["gram"][runs], np.cumsum(sizes) - sizes, axis=0)
+                self.rows[at + i : at + i + len(place)] = self.image["word"][place] + sums / np.sqrt(sizes)[:, None] + self.bias
             self.row.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
 
     def rate(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, first word, rating) of all windows."""
+        """(text, first input, rating) of all windows."""
         sizes = np.array([len(t) for t in texts], np.int64)
         text, first = windows(sizes)
         if not len(text):
@@ -289,7 +312,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int, held: int, per_label:
         rows = []
         for batch in batches:
             for d, y, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "toxic", "text"))):
-                if words := t.encode().lower().split():
+                if words := inputs_in(t)[0]:
                     rows.append((d, y, words))
         rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
         if rows:
@@ -312,7 +335,7 @@ def score_texts(docs: DataFrame, weights, key: str = "doc_id", text: str = "text
             held.update(of=p, lexicon=Lexicon(p))
         for batch in batches:
             for part in pieces_of(batch, 1 << 20):
-                texts = [(t or "").encode().lower().split() for t in part.column(text).to_pylist()]
+                texts, words = zip(*map(inputs_in, part.column(text).to_pylist()))
                 score, at = np.zeros(len(texts)), np.full(len(texts), -1)
                 if p is not None and "always" in p:
                     score[[bool(t) for t in texts]] = p["always"]
@@ -323,7 +346,7 @@ def score_texts(docs: DataFrame, weights, key: str = "doc_id", text: str = "text
                     best = order[last]
                     a, b = p["level"]
                     score[no[best]] = sigmoid(a * rating[best].astype(np.float64) + b)
-                    at[no[best]] = first[best]
+                    at[no[best]] = [f if words[i] is None else words[i][f] for i, f in zip(no[best], first[best])]
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array(score), pa.array(at, pa.int64(), mask=at < 0)], names=[key, "score", "worst_at"])
 
     return slim.mapInArrow(run, f"`{key}` {kind}, score DOUBLE, worst_at BIGINT")

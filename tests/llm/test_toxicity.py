@@ -73,6 +73,26 @@ def test_held_out_accuracy_and_defined_results(spark):
     assert by[5003].predicted == 1 and 29980 <= by[5003].worst_at <= 30000 and by[None].predicted == 1
 
 
+def test_words_without_end_are_read_whole(spark):
+    word = b"start" + b"ab" * 500 + b"quzzar" + b"cd" * 500
+    pieces, of = x.inputs_in((b"bada " + word + b" dada").decode())
+    framed = b"<" + word + b">"
+    assert pieces[0] == b"bada" and pieces[-1] == b"dada" and of.tolist() == [0, *[1] * (len(pieces) - 2), 2]
+    assert all(any(framed[i : i + x.HOP] in p for p in pieces) for i in range(len(framed) - x.HOP + 1))
+    assert b"".join(p[1 : 1 + x.HOP] for p in pieces[1:-2]) + pieces[-2][1:] == framed
+    assert x.inputs_in("- " + "-" * 200)[1].max() == 1 and x.inputs_in("bada dada")[1] is None
+    rows, labels = corpus(random.Random(7), 900)
+    docs = spark.createDataFrame([(i, "head" * 16 + t.replace(" ", "_")) for i, t, *_ in rows], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in x.toxicity(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()}
+    held = [(got[i].predicted, y) for i, y in labels if got[i].held_out]
+    assert np.mean([a == b for a, b in held]) > 0.85 and {r.worst_at for r in got.values()} == {0}
+
+
+def test_phrases_lie_whole_in_a_window():
+    first = set(x.windows(np.array([200]))[1].tolist())
+    assert all(any(s <= i and i + 9 <= s + x.WINDOW for s in first) for i in range(192))
+
+
 def test_too_little_to_learn_from(spark):
     docs = spark.createDataFrame([(0, "some words"), (1, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(0, 1)], "doc_id bigint, toxic int")
