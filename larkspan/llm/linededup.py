@@ -2,7 +2,7 @@
 
 A line (a trimmed, non-blank run of a text between line feeds) goes if an equal
 line, or one within one edit of it (a character put in, taken out or changed),
-stands earlier in order of (doc_id, line number); the earliest stays.
+stands earlier in order of (doc_id, line number, text hash); the earliest stays.
 
 * Equal lines meet by a 128-bit hash and are counted down to the first place.
 * Two different lines within one edit agree in their first or last half, so only
@@ -23,8 +23,10 @@ Lines shorter than `min_chars` characters are compared for equality only: one
 edit is most of a short line.
 
 Defined results: null and empty texts have no lines and are kept as they are;
-blank lines are never repeats. Rows that repeat a doc_id count as one document:
-both keep what the first keeps. A null doc_id comes first. An empty table gives
+blank lines are never repeats. Equal rows that repeat a doc_id count as one
+document: both keep what the first keeps. Different texts of one doc_id (or of
+none) are documents of their own, in order of line number and the text's hash
+between them. A null doc_id comes first. An empty table gives
 no rows. All columns of the documents are kept.
 """
 
@@ -53,10 +55,10 @@ def _sized(table: DataFrame) -> DataFrame:
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, line_no, line, h1, h2): every non-blank line, trimmed."""
-    every = docs.select(key, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
+    """(key, doc_hash, line_no, line, h1, h2): every non-blank line, trimmed; `doc_hash` is of the whole text."""
+    every = docs.select(key, F.xxhash64(text).alias("doc_hash"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
     every = every.withColumn("line", _trimmed(F.col("line"))).where("line <> ''")
-    return every.select(key, "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return every.select(key, "doc_hash", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def half_keys(line: Column) -> Column:
@@ -142,9 +144,9 @@ def variant_keys(lines: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
     """(firsts, near): `firsts` is (h1, h2, place) for each distinct line, `near` is (h1, h2, earlier)
-    for those with an earlier line within one edit; places are (key, line number)."""
+    for those with an earlier line within one edit; places are (key, line number, hash of the text)."""
     every = lines_of(docs, key, text)
-    place = F.struct(F.col(key).alias("key"), "line_no")
+    place = F.struct(F.col(key).alias("key"), "line_no", "doc_hash")
     long = F.length("line") >= min_chars
     halves = F.when(long, half_keys(F.col("line")))
     firsts = every.select("h1", "h2", place.alias("place"), halves.alias("halves")).groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
@@ -154,7 +156,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     may = keyed.join(_sized(shared), "half", "left_semi").select("h1", "h2").distinct()
     # each line's text is read again at its first place
     wanted = written(firsts.join(may, ["h1", "h2"], "left_semi").select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), "place"), "wanted")
-    at = (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & F.col(key).eqNullSafe(F.col("place.key")) & (F.col("line_no") == F.col("place.line_no"))
+    at = (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & F.col(key).eqNullSafe(F.col("place.key")) & (F.col("line_no") == F.col("place.line_no")) & (F.col("doc_hash") == F.col("place.doc_hash"))
     lined = every.where(long).join(_sized(wanted), at)
     lined = written(lined.select("h1", "h2", "place", "line").dropDuplicates(["h1", "h2"]), "candidates")
     # of all variants only those go on that two lines have, whatever their places
@@ -182,19 +184,19 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
 
 
 def _decided(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(key, line_no, kind) for the lines that go: 1 copies, 2 near copies."""
+    """(key, doc_hash, line_no, kind) for the lines that go: 1 copies, 2 near copies."""
     firsts, near = repeated_lines(docs, key, text, min_chars)
-    every = lines_of(docs, key, text).select(key, "line_no", "h1", "h2")
+    every = lines_of(docs, key, text).select(key, "doc_hash", "line_no", "h1", "h2")
     near = near.select("h1", "h2", F.lit(True).alias("near"))
     state = firsts.join(near, ["h1", "h2"], "left")
-    first = F.col(key).eqNullSafe(F.col("place.key")) & (F.col("line_no") == F.col("place.line_no"))
+    first = F.col(key).eqNullSafe(F.col("place.key")) & (F.col("line_no") == F.col("place.line_no")) & (F.col("doc_hash") == F.col("place.doc_hash"))
     kind = F.when(~first, 1).when(F.col("near"), 2)
-    return every.join(state, ["h1", "h2"]).select(key, "line_no", kind.alias("kind")).where("kind is not null")
+    return every.join(state, ["h1", "h2"]).select(key, "doc_hash", "line_no", kind.alias("kind")).where("kind is not null")
 
 
 def _by_document(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
     gone = _decided(docs, key, text, min_chars)
-    return gone.groupBy(F.col(key).alias("__key")).agg(
+    return gone.groupBy(F.col(key).alias("__key"), F.col("doc_hash").alias("__hash")).agg(
         F.collect_set(F.when(F.col("kind") == 1, F.col("line_no"))).alias("__copies"), F.collect_set(F.when(F.col("kind") == 2, F.col("line_no"))).alias("__near")
     )
 
@@ -204,7 +206,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
 
     What is collected per document is the numbers of its own lines."""
     gone = _by_document(docs, key, text, min_chars)
-    x = docs.join(gone, docs[key].eqNullSafe(gone["__key"]), "left")
+    x = docs.join(gone, docs[key].eqNullSafe(gone["__key"]) & (F.xxhash64(docs[text]) == gone["__hash"]), "left")
     none = F.array().cast("array<int>")
     x = x.withColumn("__copies", F.coalesce("__copies", none)).withColumn("__near", F.coalesce("__near", none))
     lines = F.split(docs[text], "\n", -1)

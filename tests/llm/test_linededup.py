@@ -72,3 +72,13 @@ def test_repeated_rows_long_text_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a line that is kept here"), (1, "a line that is kept here"), (2, long), (3, long[:-2] + "s")], "doc_id bigint, text string")
     assert sorted((r.doc_id, r.text[:6]) for r in ld.without_repeats(df).collect()) == [(1, "a line"), (1, "a line"), (2, "word w")]
     assert ld.without_repeats(df.limit(0)).count() == 0
+
+
+def test_only_the_judged_line_goes(spark):
+    common, near = "one very common line of text", "one very common line of texts"
+    docs = [(0, common), (5, common + "\nkept beside the copy"), (5, "unique in its own document\nand so is this"), (5, near + "\nkept beside the near copy")]
+    docs += [(None, "shared by the nameless ones\nfirst of them"), (None, "shared by the nameless ones\nsecond one, unlike"), (None, "third, with nothing shared")]
+    got = [r.text for r in ld.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()]
+    assert {"unique in its own document\nand so is this", "third, with nothing shared", "kept beside the copy", "kept beside the near copy"} <= set(got)
+    assert "\n".join(got).split("\n").count("shared by the nameless ones") == 1
+    assert {"first of them", "second one, unlike"} <= {line for t in got for line in t.split("\n")}
