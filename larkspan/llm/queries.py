@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, chat, crosspolytope, langid, linededup, mixing, mixlm, onebit, ring, simhash, toxicity
+from larkspan.llm import bpe, chat, crosspolytope, langid, linededup, mixing, mixlm, onebit, ring, simhash, spelling, toxicity
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -79,6 +79,11 @@ def op10_mixlm(t):
     return mixlm.score(t.documents)
 
 
+@_query()
+def op11_spelling(t):
+    return spelling.group_variants(spelling.counted_words(spelling.with_typos(spelling.runs(t.documents))))
+
+
 @_query(chat.oracle())
 def op12_chat(t):
     return chat.digests(chat.format_chats(chat.with_forged(t.conversations)))
