@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import bpe, chat, crosspolytope, langid, linededup, mixing, mixlm, onebit, ring, simhash, spelling, toxicity
+from larkspan.llm import bpe, chat, collocations, crosspolytope, langid, linededup, mixing, mixlm, onebit, ring, simhash, spelling, toxicity
 from larkspan.tables import Tables
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -89,6 +89,11 @@ def op12_chat(t):
     return chat.digests(chat.format_chats(chat.with_forged(t.conversations)))
 
 
+@_query()
+def op13_phrases(t):
+    return collocations.collocations(t.documents)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _QUERIES | {"pipeline": corpus_pipeline.run}
 
