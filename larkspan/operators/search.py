@@ -1,4 +1,4 @@
-"""Lexical, vector and hybrid retrieval for a whole batch of questions at once."""
+"""Shared parts of lexical, vector and hybrid retrieval; the lexical index is in `textindex`."""
 
 from __future__ import annotations
 
@@ -14,11 +14,6 @@ DIMS = 256
 DECIMALS = 6
 
 
-def search_terms(text: Column) -> Column:
-    """Index terms: every word; the inverse document frequency weighs common ones down."""
-    return tokens(text)
-
-
 def bucket(word: Column) -> Column:
     return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % DIMS).cast("int")
 
@@ -35,29 +30,6 @@ def embed_sparse(df: DataFrame, key: str, text: str) -> DataFrame:
     return counted.join(norms, key).select(key, "dim", (F.col("tf") / F.col("norm")).alias("weight"))
 
 
-def bm25(queries: DataFrame, qkey: str, docs: DataFrame, dkey: str, text: str = "text") -> DataFrame:
-    """(qkey, dkey, score) for every pair sharing a term.
-
-    Postings are built for query terms only: a left-semi join drops all other
-    words before anything is counted."""
-    terms = queries.select(qkey, F.explode(F.array_distinct(search_terms(F.col(text)))).alias("term"))
-    body = docs.select(dkey, search_terms(F.col(text)).alias("ws"))
-    stats = body.agg(F.count("*").alias("n_docs"), F.avg(F.size("ws")).alias("avg_len"))  # one row
-    words = body.select(dkey, F.size("ws").alias("len"), F.explode("ws").alias("term"))
-    postings = words.join(terms.select("term").distinct(), "term", "left_semi").groupBy(dkey, "len", "term").agg(F.count("*").alias("tf"))
-    df = postings.groupBy("term").agg(F.count("*").alias("df"))
-    scored = postings.join(df, "term").join(F.broadcast(stats))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    gain = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
-    weighted = scored.select("term", dkey, (idf * gain).alias("s"))
-    return weighted.join(terms, "term").groupBy(qkey, dkey).agg(F.round(F.sum("s"), DECIMALS).alias("score"))
-
-
-def bm25_top(queries: DataFrame, qkey: str, docs: DataFrame, dkey: str, k: int) -> DataFrame:
-    out = top_n(bm25(queries, qkey, docs, dkey), [qkey], [F.desc("score"), F.col(dkey)], k, "rank")
-    return out.withColumn("rank", F.col("rank").cast("bigint"))
-
-
 def fuse(lists: list[DataFrame], qkey: str, dkey: str, k: int) -> DataFrame:
     """Reciprocal rank fusion of ranked lists (qkey, dkey, rank)."""
     parts = [r.select(qkey, dkey, (1.0 / (RRF + F.col("rank"))).alias("s")) for r in lists]

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from larkspan import lexicons as lx
 from larkspan.functions import scoring
-from larkspan.functions.text import tokens
-from larkspan.operators.search import bm25_top
+from larkspan.functions.text import sentences, tokens
+from larkspan.operators import textindex
 from larkspan.operators.skew import exact_quantiles
 from larkspan.operators.vectors import best_labels, best_per_query, label_centroids
 from larkspan.plans import sqltext as q
 from larkspan.plans.relational import CENTROIDS_SQL
-from larkspan.plans.retrieval import _BM25, _VEC, coverage, hashed_top
+from larkspan.plans.retrieval import _BM25, _TERMS, _VEC, coverage, hashed_top, lexical_top
 from larkspan.plans.textual import check_claims
 from larkspan.registry import query
 
@@ -48,16 +48,16 @@ def precision_recall(df):
 @query(
     f"""
 WITH {_BM25}, {_VEC},
-x AS (SELECT v.item_id, min(v.doc_id) AS expected FROM vec v JOIN documents d USING (doc_id) JOIN benchmark b USING (item_id) WHERE v.rank <= 50 AND contains(d.text, b.text) GROUP BY 1),
+x AS (SELECT b.item_id, min(d.doc_id) AS expected FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE len({_TERMS('b.text')}) > 2 GROUP BY 1),
 r AS (SELECT x.item_id, l.rank FROM x LEFT JOIN lex l ON l.item_id = x.item_id AND l.doc_id = x.expected AND l.rank <= 10)
 SELECT count(*) AS questions, round(avg(CASE WHEN rank <= 1 THEN 1 ELSE 0 END), 6) AS hit_at_1, round(avg(CASE WHEN rank <= 3 THEN 1 ELSE 0 END), 6) AS hit_at_3, round(avg(coalesce(1.0::DOUBLE / rank, 0)), 6) AS mrr FROM r"""
 )
 def eval_hit_mrr(t):
-    """The expected text is the first one holding the passage verbatim."""
-    wide = hashed_top(t, 50).select("item_id", "doc_id")
+    """The expected text is the first of all texts that hold the passage verbatim; candidates share its rarest inner word."""
+    wide = textindex.holding(textindex.index_of(t), t.benchmark, "item_id")
     full = wide.join(t.texts.select("doc_id", F.col("text").alias("dt")), "doc_id").join(t.benchmark.select("item_id", F.col("text").alias("bt")), "item_id")
     expected = full.where(F.col("dt").contains(F.col("bt"))).groupBy("item_id").agg(F.min("doc_id").alias("doc_id"))
-    ranks = expected.join(bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 10), ["item_id", "doc_id"], "left")
+    ranks = expected.join(lexical_top(t, 10), ["item_id", "doc_id"], "left")
     at = lambda k: F.round(F.avg(F.when(F.col("rank") <= k, 1).otherwise(0)), 6)
     return ranks.agg(F.count("*").alias("questions"), at(1).alias("hit_at_1"), at(3).alias("hit_at_3"), F.round(F.avg(F.coalesce(1.0 / F.col("rank"), F.lit(0.0))), 6).alias("mrr"))
 
@@ -102,17 +102,17 @@ _PREFIX = lambda a, b: f"len(list_filter({a}, lambda w: len(list_filter({b}, lam
 
 @query(
     f"""
-WITH {_BM25}, x AS (SELECT item_id, {q.claim_words('b.text')} AS qw, list_distinct({q.claim_words('d.text')}) AS cw, list_distinct({q.claim_words('left(d.text, 300)')}) AS aw, {q.claim_words('left(d.text, 300)')} AS al,
-  len(list_filter({q.numbers('left(d.text, 300)')}, lambda n: NOT list_contains({q.numbers('d.text')}, n))) AS missing
-  FROM lex JOIN benchmark b USING (item_id) JOIN documents d USING (doc_id) WHERE rank = 1)
+WITH {_BM25}, an AS (SELECT doc_id, array_to_string({q.sents('text')}[1:2], ' ') AS answer FROM documents), x AS (SELECT item_id, {q.claim_words('b.text')} AS qw, list_distinct({q.claim_words('d.text')}) AS cw, list_distinct({q.claim_words('an.answer')}) AS aw, {q.claim_words('an.answer')} AS al,
+  len(list_filter({q.numbers('an.answer')}, lambda n: NOT list_contains({q.numbers('d.text')}, n))) AS missing
+  FROM lex JOIN benchmark b USING (item_id) JOIN documents d USING (doc_id) JOIN an USING (doc_id) WHERE rank = 1)
 SELECT item_id, round({_PREFIX('qw', 'aw')}, 6) AS answer_relevance, round({_PREFIX('qw', 'cw')}, 6) AS context_relevance,
   CASE WHEN missing = 0 AND round({q.covered('al', 'cw')}, 6) >= 0.5 THEN 1 ELSE 0 END AS groundedness FROM x"""
 )
 def eval_rag_triad(t):
-    """Answer = the opening of the best text, context = the text itself."""
-    best = bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 1).select("item_id", "doc_id")
+    """Answer = the first two sentences of the best text, context = the text itself."""
+    best = lexical_top(t, 1).select("item_id", "doc_id")
     rows = best.join(t.benchmark.select("item_id", F.col("text").alias("question")), "item_id").join(t.texts.select("doc_id", F.col("text").alias("context")), "doc_id")
-    rows = check_claims(rows.withColumn("answer", F.left("context", F.lit(300))), "answer", "context")
+    rows = check_claims(rows.withColumn("answer", F.array_join(F.slice(sentences(F.col("context")), 1, 2), " ")), "answer", "context")
     words = lambda c: scoring.claim_words(F.col(c))
     return rows.select(
         "item_id",
@@ -134,7 +134,7 @@ cov AS (SELECT n.item_id, count(DISTINCT n.fact) AS required, count(DISTINCT CAS
 def link_coverage(t, k: int = 3):
     """(item_id, required, lexical, vector): required words found by each method."""
     need = t.benchmark.select("item_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("fact"))
-    lists = {"lexical": bm25_top(t.benchmark, "item_id", t.texts, "doc_id", k), "vector": hashed_top(t, k)}
+    lists = {"lexical": lexical_top(t, k), "vector": hashed_top(t, k)}
     hits = None
     for name, ranked in lists.items():
         part = ranked.select("item_id", "doc_id", F.lit(name).alias("method"))

@@ -10,7 +10,8 @@ from larkspan.functions.text import numbers, sentences, tokens
 from larkspan.operators import graphs, kg
 from larkspan.operators.chunking import PLAIN, chunk_recursive
 from larkspan.operators.extractive import distinctive_terms
-from larkspan.operators.search import bm25_top, hashed
+from larkspan.operators.search import hashed
+from larkspan.operators.textindex import TextIndex, add_batch, search
 from larkspan.operators.vectors import best_per_query
 from larkspan.plans import sqltext as q
 from larkspan.plans.evaluation import link_coverage
@@ -18,7 +19,7 @@ from larkspan.plans.graph import community_facts, home_community, local_ranking,
 from larkspan.plans.retrieval import _BM25
 from larkspan.plans.textual import aspect_sentiment, check_claims, triage, with_words
 from larkspan.registry import query
-from larkspan.storage import cut, written
+from larkspan.storage import cut, scratch, written
 
 _ABUSE = list(lx.TOPIC_TERMS["abuse"])
 _P, _N = q.pos_neg("w", lx.SAMPLE_SENTIMENT)
@@ -82,9 +83,10 @@ def job_ask_documents(t):
     chunks = written(chunk_recursive(parsed, "page_id", "text", 1512, 256, PLAIN), "chunks")
     label = F.coalesce(scoring.best_label(tokens(F.col("chunk")), lx.TOPIC_TERMS), F.lit("other"))
     category = chunks.where("chunk_index = 0").select("page_id", label.alias("category"))
-    index = chunks.join(category, "page_id").withColumn("chunk_id", F.xxhash64("page_id", "chunk_index"))
-    index = written(index.select("chunk_id", "page_id", "category", F.col("chunk").alias("text")), "index")
-    hits = bm25_top(t.benchmark, "item_id", index, "chunk_id", 3).join(index, "chunk_id")
+    named = chunks.join(category, "page_id").withColumn("chunk_id", F.concat_ws("/", "page_id", "chunk_index"))
+    index = TextIndex(t.spark, scratch(t.spark, "chunks"), "chunk_id STRING, page_id BIGINT, category STRING, text STRING")
+    add_batch(index, named.select("chunk_id", "page_id", "category", F.col("chunk").alias("text")), 0)
+    hits = search(index, t.benchmark, "item_id", 3, F.col("category") != "other", ("page_id", "category", "text"))
     line = F.concat(F.lit("["), F.col("page_id"), F.lit(" / "), F.col("category"), F.lit("] "), F.col("text"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", line.alias("line"))))
     ctx = hits.groupBy("item_id").agg(F.array_join(F.transform(ordered, lambda r: r["line"]), "\n").alias("context"), F.array_join(F.array_sort(F.collect_set(F.col("page_id").cast("string"))), ",").alias("sources"))

@@ -9,7 +9,8 @@ from larkspan.functions import scoring
 from larkspan.functions import vectors as v
 from larkspan.functions.text import tokens
 from larkspan.operators.lsh import approximate_top_k
-from larkspan.operators.search import B, DIMS, K1, bm25_top, embed_sparse, fuse, hashed
+from larkspan.operators import textindex
+from larkspan.operators.search import B, DIMS, K1, embed_sparse, fuse, hashed
 from larkspan.operators.skew import last_k_before, top_n
 from larkspan.operators.vectors import best_labels, best_per_query, best_per_row, label_centroids
 from larkspan.plans import sqltext as q
@@ -70,15 +71,24 @@ lex AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY
 
 @query(f"WITH {_BM25} SELECT item_id, doc_id, score, rank FROM lex WHERE rank <= 10")
 def search_lexical_bm25(t):
-    return bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 10)
+    return lexical_top(t, 10)
+
+
+def lexical_top(t, k: int, where=None, show=()):
+    """The k best documents of each question, from the stored index."""
+    return textindex.search(textindex.index_of(t), t.benchmark, "item_id", k, where, show)
 
 
 def hashed_table(df, key: str):
     return df.select(key, hashed(F.col("text")).alias("embedding")).where(F.size("embedding") > 0)
 
 
-def hashed_top(t, k: int):
-    return best_per_query(hashed_table(t.texts, "doc_id"), "doc_id", hashed_table(t.benchmark, "item_id"), "item_id", k)
+def hashed_top(t, k: int, where=None):
+    """The k nearest documents by hashed words, which the stored index holds."""
+    stored = textindex.index_of(t).docs()
+    stored = stored if where is None else stored.where(where)
+    corpus = stored.select("doc_id", F.col("buckets").alias("embedding")).where(F.size("embedding") > 0)
+    return best_per_query(corpus, "doc_id", hashed_table(t.benchmark, "item_id"), "item_id", k)
 
 
 _VEC = f"""
@@ -96,8 +106,37 @@ r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY rrf DESC, doc_i
 SELECT * FROM r WHERE rank <= 10"""
 )
 def search_hybrid_rrf(t):
-    lexical = bm25_top(t.benchmark, "item_id", t.texts, "doc_id", 50)
-    return fuse([lexical, hashed_top(t, 50)], "item_id", "doc_id", 10)
+    return fuse([lexical_top(t, 50), hashed_top(t, 50)], "item_id", "doc_id", 10)
+
+
+_SOURCES = ("src1", "src2", "src3")
+_FILTER = f"lang = 'en' AND source IN {q.in_list(_SOURCES)}"
+
+
+@query(
+    f"""WITH {_BM25}, f AS (SELECT l.item_id, l.doc_id, l.score, d.lang, d.source, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM sc l JOIN documents d USING (doc_id) WHERE {_FILTER})
+SELECT * FROM f WHERE rank <= 10"""
+)
+def search_lexical_filtered(t):
+    """Lexical search among documents of some attributes, which are shown with the hits."""
+    return lexical_top(t, 10, F.expr(_FILTER), ("lang", "source"))
+
+
+@query(
+    f"""WITH {_BM25}, {_VEC},
+lf AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc JOIN documents USING (doc_id) WHERE {_FILTER}),
+vf AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY similarity DESC, doc_id) AS rank FROM vs JOIN documents USING (doc_id) WHERE {_FILTER}),
+u AS (SELECT * FROM lf WHERE rank <= 50 UNION ALL SELECT * FROM vf WHERE rank <= 50),
+f AS (SELECT item_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, count(*) AS lists FROM u GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY rrf DESC, doc_id) AS rank FROM f)
+SELECT item_id, doc_id, rrf, lists, rank, source FROM r JOIN documents USING (doc_id) WHERE rank <= 10"""
+)
+def search_hybrid_filtered(t):
+    """Both legs of the hybrid search see only the documents that the filter lets through."""
+    where = F.expr(_FILTER)
+    hits = fuse([lexical_top(t, 50, where), hashed_top(t, 50, where)], "item_id", "doc_id", 10)
+    return hits.join(textindex.index_of(t).docs().select("doc_id", "source"), "doc_id")
 
 
 def coverage(query_words, text_words):
@@ -200,7 +239,7 @@ def fewshot_retrieval(t):
 
 
 def top_context(t, k: int = 3):
-    return bm25_top(t.benchmark, "item_id", t.texts, "doc_id", k)
+    return lexical_top(t, k)
 
 
 @query(

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from larkspan import lexicons as lx
 from larkspan.functions import scoring
 from larkspan.functions.text import tokens
-from larkspan.operators.search import search_terms
+from larkspan.operators.textindex import TextIndex, add_batch, search
 from larkspan.plans import sqltext as q
+from larkspan.plans.retrieval import _BM25
 from larkspan.registry import query
 from larkspan.storage import scratch
 from larkspan.streaming.runs import WATERMARK, batch_folder, clock, event_time, file_stream, run_batches, run_to_files
@@ -62,17 +63,31 @@ def st_cdc_insert_delete(t):
 SELECT term, count(DISTINCT doc_id) AS docs, CAST(count(*) AS BIGINT) AS uses FROM (SELECT doc_id, unnest({q.toks('text')}) AS term FROM documents) GROUP BY 1"""
 )
 def st_target_lag(t):
-    """Inverted index kept up by appending the postings of each batch of new texts."""
-    out, ck = scratch(t.spark, "postings"), scratch(t.spark, "ck")
-    sink = batch_folder(out)
+    """A stored index kept up by the batches of a stream: what it knows of each term."""
+    index = _followed(t)
+    heads = index.table("postings", index.upto())
+    return heads.groupBy("term").agg(F.sum("n").alias("docs"), F.sum("uses").alias("uses"))
+
+
+def _followed(t) -> TextIndex:
+    """The index of a feed of two files, each a batch of the stream; the second one only adds files."""
+    feed, ck = scratch(t.spark, "feed"), scratch(t.spark, "ck")
+    for half in (0, 1):
+        t.documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == half).coalesce(1).write.mode("append").parquet(feed)
+    index = TextIndex(t.spark, scratch(t.spark, "index"))
+    run_batches(file_stream(t.spark, feed, SCHEMAS["documents"], 1), keeps(index), ck)
+    return index
+
+
+def keeps(index: TextIndex):
+    """A sink for `run_batches` or, within a target lag, `run_refreshing`."""
+    return lambda batch, batch_id: add_batch(index, batch, batch_id)
 
-    def apply(batch, batch_id):
-        words = batch.select("doc_id", F.explode(search_terms(F.col("text"))).alias("term"))
-        sink(words.groupBy("doc_id", "term").agg(F.count("*").alias("tf")), batch_id)
 
-    run_batches(file_stream(t.spark, t.path("documents"), SCHEMAS["documents"]), apply, ck)
-    index = t.spark.read.schema("doc_id BIGINT, term STRING, tf BIGINT").parquet(f"{out}/batch_id=*")
-    return index.groupBy("term").agg(F.count("*").alias("docs"), F.sum("tf").alias("uses"))
+@query(f"WITH {_BM25} SELECT item_id, doc_id, score, rank FROM lex WHERE rank <= 5")
+def st_index_search(t):
+    """Questions answered by the index that the stream keeps; no document is tokenised for them."""
+    return search(_followed(t), t.benchmark, "item_id", 5)
 
 
 @query()

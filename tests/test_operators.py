@@ -199,11 +199,14 @@ def test_peel_keeps_loops(spark, edges, free, stuck):
 
 
 def test_short_words_find_a_text(spark):
-    from larkspan.operators.search import bm25_top
+    from larkspan.operators.textindex import TextIndex, add_batch, search
+    from larkspan.storage import scratch
 
     docs = spark.createDataFrame([(1, "the AI API and SQL of it"), (2, "a long text about something else")], "doc_id bigint, text string")
     asked = spark.createDataFrame([(7, "AI API SQL")], "item_id bigint, text string")
-    assert [r.doc_id for r in bm25_top(asked, "item_id", docs, "doc_id", 5).collect()] == [1]
+    index = TextIndex(spark, scratch(spark, "index"), "doc_id BIGINT")
+    add_batch(index, docs, 0)
+    assert [r.doc_id for r in search(index, asked, "item_id", 5).collect()] == [1]
 
 
 def test_listing_keeps_the_path_below_the_root(spark, tmp_path):
