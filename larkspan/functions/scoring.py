@@ -115,16 +115,30 @@ def claim_words(text: Column) -> Column:
     return F.filter(tokens(text), lambda w: ~w.isin(*STOPWORDS))
 
 
+START = 5  # letters that two words must share at their start
+
+
+def starts(words: Column, upto: int = START) -> Column:
+    """Distinct beginnings of the words, of 1 to `upto` letters."""
+    return F.array_distinct(F.flatten(F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.least(F.length(w), F.lit(upto))), lambda j: F.substring(w, F.lit(1), j)))))
+
+
+def begun(asked: Column, words: Column) -> Column:
+    """Those beginnings (of START letters, or whole shorter words) of the asked words with which some word starts."""
+    return F.array_intersect(F.transform(asked, lambda w: F.substring(w, 1, START)), starts(words))
+
+
 def covered_share(claim: Column, evidence: Column) -> Column:
-    """Share of claim words whose 5-letter prefix fits an evidence word."""
-
-    def share(pair: Column) -> Column:
-        covered = F.filter(
-            pair["claim"],
-            lambda w: F.exists(
-                pair["evidence"], lambda e: e.startswith(F.substring(w, 1, 5)) | w.startswith(F.substring(e, 1, 5))
-            ),
-        )
-        return F.size(covered) / F.greatest(F.size(pair["claim"]), F.lit(1))
-
-    return let(F.struct(claim.alias("claim"), evidence.alias("evidence")), share)
+    """Share of claim words whose 5-letter prefix fits an evidence word, or that start with a shorter evidence word.
+
+    Both sides meet as sets of beginnings; no word is compared with every other."""
+
+    def share(x: Column) -> Column:
+        covered = F.filter(x["claim"], lambda w: F.array_contains(x["begun"], F.substring(w, 1, START)) | F.exists(x["short"], lambda e: w.startswith(e)))
+        return F.size(covered) / F.greatest(F.size(x["claim"]), F.lit(1))
+
+    def met(x: Column) -> Column:
+        short = F.array_intersect(starts(x["claim"], START - 1), F.filter(x["evidence"], lambda e: F.length(e) < START))
+        return let(F.struct(x["claim"].alias("claim"), begun(x["claim"], x["evidence"]).alias("begun"), short.alias("short")), share)
+
+    return let(F.struct(claim.alias("claim"), evidence.alias("evidence")), met)

@@ -233,3 +233,10 @@ def holding(index: TextIndex, queries: DataFrame, qkey: str, text: str = "text")
     hits = rare.withColumn("part", _part(F.col("term"))).join(index.table("postings", at).select("part", "term", "docs"), ["part", "term"])
     found = hits.select(F.col("q").alias(qkey), F.explode("docs").alias("d")).select(qkey, F.col("d.doc").alias(index.key)).distinct()
     return found.join(index.docs(at).select(index.key).distinct(), index.key, "left_semi")
+
+
+def stored_sets(t) -> tuple[DataFrame, str, DataFrame]:
+    """The distinct words of every document (doc_id, words), their key, and (w, df) of all words; from the stored index."""
+    index = index_of(t)
+    df = index.table("terms", index.upto()).groupBy(F.col("term").alias("w")).agg(F.sum("df").alias("df"))
+    return index.docs().select("doc_id", F.col("terms").alias("words")), "doc_id", df

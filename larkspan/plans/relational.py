@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspan.functions.text import distinct_tokens
+from larkspan.operators.setjoin import at_least
 from larkspan.operators.skew import top_n
+from larkspan.operators.textindex import stored_sets
 from larkspan.operators.vectors import best_labels, label_centroids, pair_scores
 from larkspan.registry import query
 from larkspan.storage import written
@@ -122,14 +124,12 @@ hit AS (SELECT item_id, doc_id, count(*) AS shared FROM rare JOIN dt USING (tok)
 SELECT item_id, doc_id, shared FROM hit JOIN b USING (item_id) WHERE shared * 5 >= len(toks) * 3"""
 )
 def join_semantic_theta(t, min_fifths: int = 3):
-    """`ON texts_overlap(a, b)` as an equi-join on words plus a count.
+    """`ON texts_overlap(a, b)` as a set join over the stored index: only an item's rarest words are join keys.
 
     A pair overlaps if the text holds three fifths of the item's distinct words, whatever their length."""
-    item = t.benchmark.select("item_id", distinct_tokens(F.col("text")).alias("toks"))
-    words = item.select("item_id", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
-    docs = t.documents.select("doc_id", F.explode(distinct_tokens(F.col("text"))).alias("tok"))
-    pairs = docs.join(words, "tok").groupBy("item_id", "n", "doc_id").agg(F.count("*").alias("shared"))
-    return pairs.where(F.col("shared") * 5 >= F.col("n") * min_fifths).select("item_id", "doc_id", "shared")
+    item = t.benchmark.select("item_id", distinct_tokens(F.col("text")).alias("words"))
+    item = item.withColumn("need", F.ceil(F.size("words") * min_fifths / 5))
+    return at_least(item, "item_id", *stored_sets(t))
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")

@@ -143,11 +143,11 @@ def coverage(query_words, text_words):
     """Share of query words whose 5-letter prefix starts a word of the text."""
     from larkspan.functions.text import let
 
-    def share(pair):
-        hit = F.filter(pair["q"], lambda w: F.exists(pair["d"], lambda e: e.startswith(F.substring(w, 1, 5))))
-        return F.size(hit) / F.greatest(F.size(pair["q"]), F.lit(1))
+    def share(x):
+        hit = F.filter(x["q"], lambda w: F.array_contains(x["begun"], F.substring(w, 1, scoring.START)))
+        return F.size(hit) / F.greatest(F.size(x["q"]), F.lit(1))
 
-    return let(F.struct(query_words.alias("q"), text_words.alias("d")), share)
+    return let(F.struct(query_words.alias("q"), scoring.begun(query_words, text_words).alias("begun")), share)
 
 
 @query(

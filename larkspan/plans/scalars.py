@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from larkspan.functions import formats, vectors
 from larkspan.functions.text import NUMBER_PATTERN, STEM_SUFFIXES, STOPWORDS, numbers, sentences, terms
+from larkspan.operators.setjoin import most_shared
 from larkspan.operators.vectors import label_centroids
 from larkspan.plans.relational import CENTROIDS_SQL
 from larkspan.registry import query
+from larkspan.storage import written
 
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
 
@@ -113,18 +115,25 @@ def fn_normalise_token(t):
 WITH q AS (SELECT item_id, unnest({sql_terms('text')}) AS term FROM benchmark),
 n AS (SELECT item_id, count(*) AS query_terms FROM q GROUP BY 1),
 d AS (SELECT doc_id, unnest({sql_terms('text')}) AS term FROM documents),
-h AS (SELECT item_id, doc_id, count(*) AS shared FROM q JOIN d USING (term) GROUP BY 1, 2)
-SELECT h.item_id, h.doc_id, h.shared, round(h.shared / n.query_terms, 6) AS coverage
-FROM h JOIN n USING (item_id) WHERE h.shared >= 0.6 * n.query_terms"""
+h AS (SELECT item_id, doc_id, count(*) AS shared FROM q JOIN d USING (term) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id) AS rank FROM h),
+s AS (SELECT item_id, list_sort({sql_terms('text')}) AS qt FROM benchmark)
+SELECT r.item_id, r.doc_id, r.shared, round(r.shared / n.query_terms, 6) AS coverage, r.rank,
+       array_to_string(list_filter(qt, lambda w: list_contains({sql_terms('x.text')}, w)), ' ') AS present,
+       array_to_string(list_transform(qt, lambda w: CASE WHEN list_contains({sql_terms('x.text')}, w) THEN '1' ELSE '0' END), '') AS matrix
+FROM r JOIN n USING (item_id) JOIN s USING (item_id) JOIN documents x USING (doc_id) WHERE r.rank <= 5"""
 )
-def txt_term_overlap(t):
-    """Shared terms of query and text, reported where most of the query is covered."""
-    q = t.benchmark.select("item_id", terms(F.col("text")).alias("ts"))
-    q = q.select("item_id", F.size("ts").alias("query_terms"), F.explode("ts").alias("term"))
-    d = t.documents.select("doc_id", F.explode(terms(F.col("text"))).alias("term"))
-    h = d.join(q, "term").groupBy("item_id", "doc_id", "query_terms").agg(F.count("*").alias("shared"))
-    out = h.where(F.col("shared") >= 0.6 * F.col("query_terms"))
-    return out.select("item_id", "doc_id", "shared", F.round(F.col("shared") / F.col("query_terms"), 6).alias("coverage"))
+def txt_term_overlap(t, k: int = 5):
+    """The texts that hold most terms of each query: shared terms, which ones, and a row of the presence matrix."""
+    q = t.benchmark.select("item_id", terms(F.col("text")).alias("words"))
+    d = written(t.texts.select("doc_id", terms(F.col("text")).alias("words")), "terms")
+    best = most_shared(q, "item_id", d, "doc_id", k)
+    rows = best.join(q.select("item_id", F.array_sort("words").alias("qt")), "item_id").join(d, "doc_id")
+    rows = rows.withColumn("held", F.array_intersect("qt", "words"))
+    matrix = F.array_join(F.transform("qt", lambda w: F.when(F.array_contains("held", w), "1").otherwise("0")), "")
+    return rows.select(
+        "item_id", "doc_id", "shared", F.round(F.col("shared") / F.size("qt"), 6).alias("coverage"), F.col("rank").cast("bigint").alias("rank"), F.array_join("held", " ").alias("present"), matrix.alias("matrix")
+    )
 
 
 @query(

@@ -12,8 +12,10 @@ from larkspan.operators.bpe import learn_merges
 from larkspan.operators.enrich import enrich_cached as enrich
 from larkspan.operators.enrich import stub_provider
 from larkspan.operators.extractive import distinctive_terms, summarize_groups, summarize_rows
-from larkspan.operators.similarity import SEEDS, near_duplicates
+from larkspan.operators.setjoin import most_shared
+from larkspan.operators.similarity import near_duplicates
 from larkspan.operators.skew import top_n
+from larkspan.operators.textindex import stored_sets
 from larkspan.operators.vectors import best_per_query, label_centroids
 from larkspan.plans import sqltext as q
 from larkspan.plans.relational import CENTROIDS_SQL
@@ -490,29 +492,21 @@ def bpe_merge_counts(t, rounds: int = 4):
     return values(t.spark, "round INT, left_symbol STRING, right_symbol STRING, pair_count BIGINT", merges)
 
 
-def _near_sql() -> str:
-    mins = []
-    for s in SEEDS:
-        for b in range(2):
-            pieces = " || ".join(f"list_min(list_transform(g, lambda x: substring(md5('{s}' || x), {1 + 8 * j}, 8)))" for j in (2 * b, 2 * b + 1))
-            mins.append(f"'{s}{b}:' || {pieces}")
-    gram = "list_distinct(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(w[i:i + 2], ' ')))"
-    return f"""
-WITH d AS MATERIALIZED (SELECT doc_id, {gram} AS g FROM (SELECT doc_id, {q.toks('text')} AS w FROM documents)),
+_GRAM = "list_distinct(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(w[i:i + 2], ' ')))"
+
+
+@query(
+    f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_GRAM} AS g FROM (SELECT doc_id, {q.toks('text')} AS w FROM documents)),
 h AS (SELECT doc_id, md5(array_to_string(g, chr(1))) AS h FROM d),
 f AS (SELECT h, min(doc_id) AS anchor FROM h GROUP BY 1),
-u AS MATERIALIZED (SELECT d.* FROM d WHERE doc_id IN (SELECT anchor FROM f)),
-b AS MATERIALIZED (SELECT doc_id, unnest([{', '.join(mins)}]) AS band FROM u),
-m AS (SELECT band, min(doc_id) AS anchor FROM b GROUP BY 1),
-p AS (SELECT DISTINCT b.doc_id, m.anchor FROM b JOIN m USING (band) WHERE b.doc_id <> m.anchor),
-j AS (SELECT p.doc_id, p.anchor, len(list_intersect(x.g, y.g)) AS i, len(x.g) AS nx, len(y.g) AS ny FROM p JOIN u x ON x.doc_id = p.doc_id JOIN u y ON y.doc_id = p.anchor),
-s AS (SELECT doc_id, anchor, round(i / (nx + ny - i), 6) AS jaccard FROM j),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY jaccard DESC, anchor) AS rn FROM s WHERE jaccard >= 0.7)
+u AS MATERIALIZED (SELECT doc_id, len(g) AS n, unnest(g) AS gram FROM d WHERE doc_id IN (SELECT anchor FROM f)),
+p AS (SELECT x.doc_id, y.doc_id AS anchor, x.n AS nx, y.n AS ny, count(*) AS i FROM u x JOIN u y ON x.gram = y.gram AND y.doc_id < x.doc_id GROUP BY 1, 2, 3, 4),
+s AS (SELECT doc_id, anchor, round(i / (nx + ny - i), 6) AS jaccard FROM p WHERE i / (nx + ny - i) >= 0.7 - 1e-12),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY jaccard DESC, anchor) AS rn FROM s)
 SELECT doc_id, anchor, 1.0::DOUBLE AS jaccard, 'copy' AS kind FROM h JOIN f USING (h) WHERE doc_id <> anchor
 UNION ALL SELECT doc_id, anchor, jaccard, 'near' FROM r WHERE rn = 1"""
-
-
-@query(_near_sql())
+)
 def near_duplicate_text(t):
     return near_duplicates(t.texts, "doc_id", "text")
 
@@ -551,11 +545,10 @@ ev AS MATERIALIZED (SELECT item_id, doc_id, shared FROM (SELECT *, row_number()
 
 
 def best_evidence(t):
-    """(item_id, doc_id, shared): the document sharing most words with each passage."""
-    items = t.benchmark.select("item_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("tok"))
-    docs = t.texts.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("tok"))
-    hits = docs.join(items, "tok").groupBy("item_id", "doc_id").agg(F.count("*").alias("shared"))
-    return top_n(hits, ["item_id"], [F.desc("shared"), F.col("doc_id")], 1).drop("rn")
+    """(item_id, doc_id, shared): the document sharing most words with each passage, by its rarest words."""
+    items = t.benchmark.select("item_id", F.array_distinct(tokens(F.col("text"))).alias("words"))
+    sets, key, _ = stored_sets(t)
+    return most_shared(items, "item_id", sets, key, 1).drop("rank")
 
 
 def check_claims(df, claim: str, evidence: str, min_overlap: float = 0.5):
