@@ -6,7 +6,7 @@ stay short and a lost executor costs a round at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspan.storage import cut
@@ -42,20 +42,29 @@ def shortest_paths(pairs: DataFrame, seeds: DataFrame, k: int, sep: str = ">") -
 
 
 def reachable(pairs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(node) reachable along directed edges, seeds included; runs to the fixpoint."""
-    visited = cut(seeds.select("node"))
-    frontier = visited
-    rounds = 0
+    """(node) reachable along directed edges, seeds included; runs to the fixpoint.
+
+    Shortcuts double as the search goes on: in each round the frontier takes one hop and, where a chain has no
+    branches, its whole squared run, so a chain of n hops takes about log2(n) rounds. Shortcuts only exist for
+    nodes with one edge out, so there is never more than one per node, and hubs are left to the hop."""
+    edges = cut(pairs.select("a", "b").where("a <> b").distinct())
+    alone = edges.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b")).where("n = 1").select("a", "b")
+    frontier = visited = cut(seeds.select("node").distinct())
+    ladder = [cut(alone)]
     while True:
-        step = frontier.join(pairs, frontier["node"] == pairs["a"]).select(F.col("b").alias("node")).distinct()
-        fresh = cut(step.join(visited, "node", "left_anti"))
+        hop = frontier.join(edges, frontier["node"] == edges["a"]).select(F.col("b").alias("node"))
+        for jump in ladder[1:]:
+            hop = hop.unionByName(frontier.join(jump, frontier["node"] == jump["a"]).select(F.col("b").alias("node")))
+        fresh = cut(hop.distinct().join(visited, "node", "left_anti"))
         if fresh.isEmpty():
             return visited
-        visited = visited.unionByName(fresh)
-        rounds += 1
-        if rounds % 8 == 0:
-            visited = cut(visited)
-        frontier = fresh
+        visited = cut(visited.unionByName(fresh))
+        frontier = visited if len(ladder) > 1 else fresh
+        last = ladder[-1]
+        further = last.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        twice = cut(last.join(further, "b").where("a <> c").select("a", F.col("c").alias("b")))
+        if not twice.isEmpty():
+            ladder.append(twice)
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -75,18 +84,43 @@ def components(pairs: DataFrame) -> DataFrame:
             return labels
 
 
+def chains(edges: DataFrame) -> DataFrame:
+    """(node, head): nodes that hang in a row, each the only successor of its only predecessor, named by the
+    first of the row; found by doubling. A row that closes to a ring has no first: its nodes have no head."""
+    outs = edges.groupBy("a").agg(F.count("*").alias("n")).where("n = 1").select("a")
+    ins = edges.groupBy("b").agg(F.count("*").alias("n")).where("n = 1").select("b")
+    up = cut(edges.join(outs, "a", "left_semi").join(ins, "b", "left_semi").select(F.col("b").alias("node"), F.col("a").alias("head")))
+    most, length = up.count(), 1
+    while True:
+        higher = up.select(F.col("node").alias("head"), F.col("head").alias("higher"))
+        up = cut(up.join(higher, "head", "left").select("node", F.coalesce("higher", "head").alias("head"), F.col("higher").isNotNull().alias("moved")))
+        length *= 2
+        if length > 2 * most or up.where("moved").isEmpty():
+            return up.select("node", F.when(~F.col("moved"), F.col("head")).alias("head"))
+        up = up.drop("moved")
+
+
 def peel(pairs: DataFrame) -> tuple[int, int]:
-    """(nodes removed, nodes left) after removing nodes without incoming edges until none is left."""
-    left = cut(pairs.select("a", "b").distinct())
-    total = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().count()
+    """(nodes removed, nodes left) after removing nodes without incoming edges until none is left.
+
+    Rows of nodes without branches are taken as one node first, so that a long row doesn't take a round per hop."""
+    edges = cut(pairs.select("a", "b").distinct())
+    row = chains(edges)
+    ring = row.where("head is null").count()
+    head = row.where("head is not null")
+    sizes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(row.where("head is null"), "node", "left_anti")
+    sizes = cut(sizes.join(head, "node", "left").groupBy(F.coalesce("head", "node").alias("node")).agg(F.count("*").alias("n")))
+    total = (sizes.agg(F.sum("n")).first()[0] or 0) + ring
+    inner = edges.join(row.select(F.col("node").alias("b")), "b", "left_anti").join(head.select(F.col("node").alias("a"), "head"), "a", "left")
+    left = cut(inner.select(F.coalesce("head", "a").alias("a"), "b").distinct())
     before, after = -1, left.count()
     while after not in (0, before):
         targets = left.select(F.col("b").alias("t")).distinct()
         left = cut(left.join(targets, left["a"] == targets["t"], "left_semi"))
         before, after = after, left.count()
     # edges that never go away keep their end points (and what hangs below them); a loop never goes away
-    on_cycle = left.select("a").union(left.select("b")).distinct().count() if after else 0
-    return total - on_cycle, on_cycle
+    stuck = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().join(sizes, "node").agg(F.sum("n")).first()[0] if after else 0
+    return total - (stuck or 0) - ring, (stuck or 0) + ring
 
 
 def modularity(pairs: DataFrame, labels: DataFrame, gamma: float = 1.0) -> DataFrame:
@@ -100,39 +134,78 @@ def modularity(pairs: DataFrame, labels: DataFrame, gamma: float = 1.0) -> DataF
     return inside.join(F.broadcast(per)).select(q.alias("modularity"))
 
 
-def communities(pairs: DataFrame, gamma: float = 1.0) -> DataFrame:
-    """(node, community): weighted label moves by modularity gain, then connected.
+def early(node: Column, depth: int, sweep: int) -> Column:
+    """Half of the nodes, another one in each sweep. In a round only one half may move, which keeps neighbours
+    from swapping; halves that stayed the same would tie nodes of one half to each other for ever."""
+    return F.substring(F.md5(F.concat(node, F.lit(f"{depth}:{sweep}"))), 1, 1) < "8"
+
 
-    In a round only half of the nodes (by hash) may move, which keeps two
-    neighbours from swapping for ever. Ties go to the smallest label. It ends
-    when neither half moves, or when four rounds don't raise the modularity."""
-    degree = cut(pairs.groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("k")))
-    two_m = degree.agg(F.sum("k").alias("two_m"))
-    labels = degree.select("node", "k", F.col("node").alias("community"))
-    r = quiet = 0
-    reached = float("-inf")
-    while quiet < 2:
+def _moves(level: DataFrame, degree: DataFrame, gamma: tuple[int, int], sweeps: int, depth: int) -> DataFrame:
+    """(node, community): each node with its best neighbour community by modularity gain, in rounds of one half each.
+
+    Gains are whole numbers, so ties are exact; a node moves only to a better place, of equal ones to the smallest."""
+    big = lambda x: F.col(x).cast("decimal(19,0)")
+    links = level.where("a <> b")
+    labels = degree.select("node", "k", "two_m", F.col("node").alias("community"))
+    for r in range(2 * sweeps):
         totals = labels.groupBy("community").agg(F.sum("k").alias("tot"))
-        near = pairs.join(labels.select(F.col("node").alias("b"), "community"), "b").groupBy(F.col("a").alias("node"), "community").agg(F.sum("weight").alias("w"))
+        near = links.join(labels.select(F.col("node").alias("b"), "community"), "b").groupBy(F.col("a").alias("node"), "community").agg(F.sum("weight").alias("w"))
         own = labels.select("node", "community", F.lit(0).cast("bigint").alias("w"))
         options = near.unionByName(own).groupBy("node", "community").agg(F.sum("w").alias("w"))
-        mine = labels.select("node", "k", F.col("community").alias("current"))
-        scored = options.join(totals, "community").join(mine, "node").join(F.broadcast(two_m))
-        rest = F.col("tot") - F.when(F.col("community") == F.col("current"), F.col("k")).otherwise(0)
-        gain = F.round(F.col("w") - gamma * F.col("k") * rest / F.col("two_m"), 9)
-        best = scored.groupBy("node", "k", "current").agg(F.min(F.struct((-gain).alias("neg"), "community")).alias("p"))
-        moves = F.pmod(F.xxhash64("node"), F.lit(2)) == r % 2
-        fresh = cut(best.select("node", "k", F.when(moves, F.col("p.community")).otherwise(F.col("current")).alias("community"), "current"))
-        moved = fresh.where("community <> current").count()
-        labels = fresh.drop("current")
-        quiet = quiet + 1 if moved == 0 else 0
-        r += 1
-        if r % 4 == 0:
-            now = modularity(pairs, labels.select("node", "community"), gamma).first()["modularity"]
-            if now is None or now <= reached + 1e-9:
-                break
-            reached = now
-    return connected(pairs, labels.select("node", "community"))
+        mine = labels.select("node", "k", "two_m", F.col("community").alias("current"))
+        x = options.join(totals, "community").join(mine, "node")
+        stays = F.col("community") == F.col("current")
+        x = x.withColumn("rest", F.col("tot") - F.when(stays, F.col("k")).otherwise(0))
+        gain = big("w") * big("two_m") * gamma[1] - big("k") * big("rest") * gamma[0]
+        x = x.withColumn("gain", gain.cast("decimal(38,0)"))
+        best = x.groupBy("node", "k", "two_m", "current").agg(
+            F.min(F.struct((-F.col("gain")).alias("neg"), "community")).alias("p"), F.max(F.when(F.col("community") == F.col("current"), F.col("gain"))).alias("stay")
+        )
+        moves = (early(F.col("node"), depth, r // 2) == F.lit(r % 2 == 0)) & (-F.col("p.neg") > F.col("stay"))
+        labels = cut(best.select("node", "k", "two_m", F.when(moves, F.col("p.community")).otherwise(F.col("current")).alias("community")))
+    return labels.select("node", "community")
+
+
+def _quality(level: DataFrame, labels: DataFrame, degree: DataFrame, gamma: tuple[int, int]) -> DataFrame:
+    """(g, q): modularity of each group's labels times the square of its weight, a whole number."""
+    named = labels.join(degree, "node").select("node", "community", "k", "g", "two_m")
+    la = named.select(F.col("node").alias("a"), F.col("community").alias("ca"), "g")
+    lb = labels.select(F.col("node").alias("b"), F.col("community").alias("cb"))
+    inside = level.join(la, "a").join(lb, "b").groupBy("g").agg(F.sum(F.when(F.col("ca") == F.col("cb"), F.col("weight")).otherwise(0)).alias("w_in"))
+    tot = named.groupBy("g", "two_m", "community").agg(F.sum("k").cast("decimal(19,0)").alias("tot"))
+    squares = tot.groupBy("g", "two_m").agg(F.sum((F.col("tot") * F.col("tot")).cast("decimal(38,0)")).alias("squares"))
+    q = F.col("w_in").cast("decimal(19,0)") * F.col("two_m").cast("decimal(19,0)") * gamma[1] - F.col("squares") * gamma[0]
+    return squares.join(inside, "g").select("g", q.cast("decimal(38,0)").alias("q"))
+
+
+def communities(pairs: DataFrame, gamma: tuple[int, int] = (1, 1), sweeps: int = 2, groups: DataFrame | None = None) -> DataFrame:
+    """(node, community): communities of the weighted graph, each connected, named by their smallest node.
+
+    Levels of contraction: nodes move, moves that fall apart are split into their connected parts, and every
+    community becomes one node whose links carry the summed weights (those inside as a loop). It is repeated on
+    the smaller graph until no level raises the modularity any more. `gamma` is a ratio of whole numbers.
+    With `groups`, (node, g), each group is a graph of its own; links between groups must not be given.
+    `pairs` holds both directions and whole weights; what a level costs falls with its links."""
+    nodes = cut(pairs.select(F.col("a").alias("node")).distinct())
+    groups = nodes.withColumn("g", F.lit("")) if groups is None else groups
+    members = nodes.select("node", F.col("node").alias("community"))
+    level, depth = pairs.select("a", "b", "weight"), 0
+    while True:
+        k = level.groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("k")).join(groups, "node")
+        degree = cut(k.join(k.groupBy("g").agg(F.sum("k").alias("two_m")), "g").select("node", "k", "g", "two_m"))
+        labels = cut(connected(level.where("a <> b"), _moves(level, degree, gamma, sweeps, depth)))
+        alone = degree.select("node", F.col("node").alias("community"))
+        before, after = _quality(level, alone, degree, gamma), _quality(level, labels, degree, gamma).withColumnRenamed("q", "better")
+        raised = before.join(after, "g").where("better > q").select("g")
+        labels = labels.join(degree.select("node", "g"), "node").join(raised.withColumn("ok", F.lit(True)), "g", "left")
+        labels = cut(labels.select("node", "g", F.when(F.col("ok"), F.col("community")).otherwise(F.col("node")).alias("community")))
+        if labels.where("node <> community").isEmpty():
+            return members
+        up = labels.select(F.col("node").alias("community"), F.col("community").alias("upper"))
+        members = cut(members.join(up, "community").select("node", F.col("upper").alias("community")))
+        la, lb = labels.select(F.col("node").alias("a"), F.col("community").alias("ca")), labels.select(F.col("node").alias("b"), F.col("community").alias("cb"))
+        level = cut(level.join(la, "a").join(lb, "b").groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("weight").alias("weight")))
+        groups, depth = labels.select(F.col("community").alias("node"), "g").distinct(), depth + 1
 
 
 def connected(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -145,26 +218,34 @@ def connected(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return parts.unionByName(lone).withColumnRenamed("component", "community")
 
 
-def hierarchy(pairs: DataFrame, gammas: tuple[float, ...] = (1.0, 2.0)) -> DataFrame:
-    """(node, level, community, parent): each level is detected inside its parents."""
-    levels = []
-    current = pairs
-    parent = None
-    for level, gamma in enumerate(gammas):
-        lab = cut(communities(current, gamma))
-        missing = None if parent is None else parent.join(lab.select("node"), "node", "left_anti").select("node", F.col("node").alias("community"))
-        lab = lab if missing is None else lab.unionByName(missing)
-        named = lab.select("node", F.lit(level).alias("level"), F.concat(F.lit(f"L{level}."), "community").alias("community"))
-        if parent is None:
-            named = named.withColumn("parent", F.lit("root"))
-        else:
-            named = named.join(parent.select("node", F.concat(F.lit(f"L{level - 1}."), "community").alias("parent")), "node")
-        levels.append(named)
-        la = lab.select(F.col("node").alias("a"), F.col("community").alias("ca"))
-        lb = lab.select(F.col("node").alias("b"), F.col("community").alias("cb"))
-        current = cut(current.join(la, "a").join(lb, "b").where("ca = cb").select("a", "b", "weight"))
-        parent = lab
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
-    return out
+def hierarchy(pairs: DataFrame, gamma: tuple[int, int] = (1, 1), sweeps: int = 2) -> DataFrame:
+    """(node, level, community, parent, is_leaf): communities split again and again, until none splits.
+
+    Level 0 partitions the graph; on each further level every community that splits, as a graph of its own,
+    is replaced by its parts. Ids tell the level and the smallest node; a node's rows end with its leaf."""
+    lab = cut(communities(pairs, gamma, sweeps))
+    named = lambda n: F.concat(F.lit(f"L{n}."), "community")
+    out = [lab.select("node", F.lit(0).alias("level"), named(0).alias("community"), F.lit("root").alias("parent"))]
+    level = 0
+    while True:
+        ca, cb = lab.select(F.col("node").alias("a"), F.col("community").alias("ca")), lab.select(F.col("node").alias("b"), F.col("community").alias("cb"))
+        inside = cut(pairs.join(ca, "a").join(cb, "b").where("ca = cb").select("a", "b", "weight"))
+        parts = cut(communities(inside, gamma, sweeps, lab.select("node", F.col("community").alias("g"))))
+        both = parts.withColumnRenamed("community", "part").join(lab, "node")
+        split = both.groupBy("community").agg(F.count_distinct("part").alias("n")).where("n > 1").select("community")
+        both = cut(both.join(split, "community", "left_semi"))
+        if both.isEmpty():
+            break
+        level += 1
+        out.append(both.select("node", F.lit(level).alias("level"), F.concat(F.lit(f"L{level}."), "part").alias("community"), F.concat(F.lit(f"L{level - 1}."), "community").alias("parent")))
+        lab = both.select("node", F.col("part").alias("community"))
+    tree = out[0]
+    for x in out[1:]:
+        tree = tree.unionByName(x)
+    inner = tree.select(F.col("parent").alias("community"), F.lit(True).alias("inner")).distinct()
+    return tree.join(inner, "community", "left").select("node", "level", "community", "parent", F.col("inner").isNull().alias("is_leaf"))
+
+
+def at_level(tree: DataFrame, level: int) -> DataFrame:
+    """(node, community): the partition of a level, with the leaves above it."""
+    return tree.where((F.col("level") == level) | (F.col("is_leaf") & (F.col("level") < level))).select("node", "community")

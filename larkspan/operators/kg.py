@@ -50,17 +50,17 @@ def _candidates(sents: DataFrame, key: str) -> DataFrame:
     return words.select(key, "sent", "pos", F.explode(F.array_compact(F.array(single, double))).alias("c")).select(key, "sent", "pos", "c.alias", "c.n")
 
 
-def catalogue(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(alias, entity, type): names that at least MIN_DOCS texts use."""
-    cand = _candidates(sentence_table(df, key), key).select(key, "alias", "n").distinct()
+def catalogue(sents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(alias, entity, type): names that at least MIN_DOCS texts use. `sents` is a sentence table."""
+    cand = _candidates(sents, key).select(key, "alias", "n").distinct()
     frequent = cand.groupBy("alias", "n").agg(F.count("*").alias("docs")).where(F.col("docs") >= MIN_DOCS)
     kind = F.when(F.col("n") == 2, "pair").when(F.length("alias") >= LONG_CHARS, "long").otherwise("short")
     return frequent.select("alias", F.col("alias").alias("entity"), kind.alias("type"))
 
 
-def mentions(df: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame:
+def mentions(sents: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, sent, pos, n, alias, entity, type): longest name first, no overlaps."""
-    cand = _candidates(sentence_table(df, key), key).join(names, "alias")
+    cand = _candidates(sents, key).join(names, "alias")
     row = F.struct((-F.col("n")).alias("neg"), "pos", "alias", "entity", "type")
     grouped = cand.groupBy(key, "sent").agg(F.array_sort(F.collect_list(row)).alias("c"))
     kept = F.aggregate(
@@ -74,12 +74,12 @@ def mentions(df: DataFrame, names: DataFrame, key: str = "doc_id") -> DataFrame:
     return flat.select(key, "sent", "m.pos", (-F.col("m.neg")).alias("n"), "m.alias", "m.entity", "m.type")
 
 
-def relations(df: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
+def relations(sents: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, sent, source, relation, target, source_surface, target_surface).
 
     Consecutive mentions of a sentence, first rule whose trigger lies between."""
     per = found.groupBy(key, "sent").agg(F.array_sort(F.collect_list(F.struct("pos", "n", "entity", "type", "alias"))).alias("ms"))
-    per = per.where(F.size("ms") > 1).join(sentence_table(df, key).select(key, "sent", "words"), [key, "sent"])
+    per = per.where(F.size("ms") > 1).join(sents.select(key, "sent", "words"), [key, "sent"])
 
     def pair(i: Column) -> Column:
         a, b = F.get("ms", i), F.get("ms", i + 1)
@@ -103,10 +103,10 @@ def relations(df: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame
     )
 
 
-def claims(df: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
+def claims(sents: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, sent, clause_no, subject, claim, time): clauses with a time or number expression."""
-    sents = sentence_table(df, key).select(key, "sent", F.posexplode(F.split("sentence", r";\s*|\s+and\s+")).alias("clause_no", "claim"))
-    dated = sents.withColumn("time", F.regexp_extract("claim", TIME_PATTERN, 0)).where("time <> ''")
+    clauses = sents.select(key, "sent", F.posexplode(F.split("sentence", r";\s*|\s+and\s+")).alias("clause_no", "claim"))
+    dated = clauses.withColumn("time", F.regexp_extract("claim", TIME_PATTERN, 0)).where("time <> ''")
     subject = found.groupBy(key, "sent").agg(F.min_by("entity", "pos").alias("subject"))
     return dated.join(subject, [key, "sent"]).select(key, "sent", "clause_no", "subject", F.btrim("claim", F.lit(" .")).alias("claim"), "time")
 

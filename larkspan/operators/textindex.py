@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from larkspan.functions.text import let, tokens
 from larkspan.operators.search import B, DECIMALS, K1, hashed
 from larkspan.operators.skew import top_n
-from larkspan.storage import scratch, written
+from larkspan.storage import derived, scratch, written
 
 BLOCK = 128  # documents of a block, on average
 PARTS = 16  # folders of postings
@@ -205,20 +205,15 @@ def search(index: TextIndex, queries: DataFrame, qkey: str, k: int, where: Colum
     return best.select(F.col("q").alias(qkey), key, "score", "rank", *show)
 
 
-_BUILT: dict[tuple[str, str], TextIndex] = {}
-
-
 def index_of(t) -> TextIndex:
     """The index of a directory's documents, built once per state of its files in this application."""
-    spark = t.spark
-    files = t.documents.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-    state = files.agg(F.count("*"), F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time"))).first()
-    known = (spark.sparkContext.applicationId, f"{t.sf_dir}:{state[0]}:{state[1]}")
-    if known not in _BUILT:
-        index = TextIndex(spark, scratch(spark, "index"))
+
+    def build() -> TextIndex:
+        index = TextIndex(t.spark, scratch(t.spark, "index"))
         add_batch(index, t.texts, 0)
-        _BUILT[known] = index
-    return _BUILT[known]
+        return index
+
+    return derived(t, "index", build)
 
 
 def holding(index: TextIndex, queries: DataFrame, qkey: str, text: str = "text") -> DataFrame:

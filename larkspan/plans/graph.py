@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from larkspan.operators import graphs, kg
 from larkspan.operators.search import DIMS, hashed
-from larkspan.operators.skew import bounded_text_agg, top_n
+from larkspan.operators.skew import top_n
 from larkspan.operators.vectors import best_per_query
 from larkspan.plans import sqltext as q
 from larkspan.plans.scalars import sql_stem
 from larkspan.registry import query
-from larkspan.storage import cut, written
+from larkspan.storage import cut, derived, written
 from larkspan.tables import values
 
 HOPS = 4
@@ -72,19 +72,35 @@ def _levels(n: int, path: bool = False) -> str:
 # ---- the pipeline in Spark
 
 
-def found_mentions(t, docs=None):
-    docs = t.texts if docs is None else docs
-    return written(kg.mentions(docs, kg.catalogue(docs)), "mentions")
+# Sentences, mentions, relations, edges and communities are stored once per state of the documents;
+# the texts are split and tokenised a single time, whatever number of queries follows.
+
+
+def sentences_of(t):
+    return derived(t, "sentences", lambda: written(kg.sentence_table(t.texts), "sentences"))
+
+
+def found_mentions(t):
+    return derived(t, "mentions", lambda: written(kg.mentions(sentences_of(t), kg.catalogue(sentences_of(t))), "mentions"))
 
 
 def found_relations(t):
-    return kg.relations(t.texts, found_mentions(t))
+    return derived(t, "relations", lambda: written(kg.relations(sentences_of(t), found_mentions(t)), "relations"))
 
 
 def weighted_graph(t):
-    """(edges, undirected pairs), both materialised for the loops that follow."""
-    e = written(kg.edges(found_relations(t)), "edges")
-    return e, cut(kg.undirected(e))
+    """(edges, undirected pairs), both stored for the loops that follow."""
+    e = derived(t, "edges", lambda: written(kg.edges(found_relations(t)), "edges"))
+    return e, derived(t, "pairs", lambda: cut(kg.undirected(e)))
+
+
+def members_of(t):
+    """(node, community): the detected communities."""
+    return derived(t, "communities", lambda: cut(graphs.communities(weighted_graph(t)[1])))
+
+
+def tree_of(t):
+    return derived(t, "hierarchy", lambda: cut(graphs.hierarchy(weighted_graph(t)[1])))
 
 
 def seed_node(pairs):
@@ -95,7 +111,7 @@ def seed_node(pairs):
 
 @query(f"{WITH}{_MENTIONS} SELECT doc_id, sent, pos, CAST(n AS INTEGER) AS n, alias AS entity, type FROM ment")
 def ent_mentions(t):
-    return kg.mentions(t.texts, kg.catalogue(t.texts)).select("doc_id", "sent", "pos", F.col("n").cast("int").alias("n"), "entity", "type")
+    return found_mentions(t).select("doc_id", "sent", "pos", F.col("n").cast("int").alias("n"), "entity", "type")
 
 
 @query(f"{WITH}{_RELATIONS} SELECT doc_id, sent, source, relation, target FROM rl")
@@ -112,32 +128,40 @@ ct AS (SELECT *, regexp_extract(claim, '{kg.TIME_PATTERN}') AS time FROM cx)
 SELECT doc_id, sent, clause_no, subject, trim(claim, ' .') AS claim, time FROM ct JOIN su USING (doc_id, sent) WHERE time <> ''"""
 )
 def ent_claims(t):
-    return kg.claims(t.texts, found_mentions(t))
+    return kg.claims(sentences_of(t), found_mentions(t))
 
 
 @query(f"{WITH}{_EDGES} SELECT source, target, weight, relations, chunks, first_chunk, last_chunk FROM ed")
 def kg_merge_edges(t):
-    return kg.edges(found_relations(t))
+    return weighted_graph(t)[0]
 
 
 @query(
     f"""{WITH}{_EDGES},
 fx AS (SELECT source, target, source || ' ' || relation || ' ' || target AS fact FROM (SELECT DISTINCT source, relation, target FROM rl)),
 inc AS (SELECT source AS node, fact FROM fx UNION SELECT target, fact FROM fx),
-tu AS (SELECT alias AS node, any_value(type) AS type, count(DISTINCT doc_id) AS text_units FROM ment GROUP BY 1)
-SELECT node, type, text_units, count(*) AS facts, left(string_agg(fact, '. ' ORDER BY fact), 300) AS description FROM inc JOIN tu USING (node) GROUP BY 1, 2, 3"""
+tu AS (SELECT alias AS node, any_value(type) AS type, count(DISTINCT doc_id) AS text_units FROM ment GROUP BY 1),
+wf AS (SELECT source || ' ' || relation || ' ' || target AS fact, count(*) AS uses FROM rl GROUP BY 1),
+rk AS (SELECT node, fact, row_number() OVER (PARTITION BY node ORDER BY uses DESC, fact) AS rn FROM inc JOIN wf USING (fact)),
+ds AS (SELECT node, string_agg(fact, '. ' ORDER BY rn) AS description FROM rk WHERE rn <= 5 GROUP BY 1)
+SELECT node, type, text_units, count(*) AS facts, any_value(description) AS description FROM inc JOIN tu USING (node) JOIN ds USING (node) GROUP BY 1, 2, 3"""
 )
 def kg_nodes(t):
-    found = found_mentions(t)
-    rels = written(kg.relations(t.texts, found), "relations")
-    facts = rels.select("source", "relation", "target").distinct().withColumn("fact", F.concat_ws(" ", "source", "relation", "target"))
-    inc = facts.select(F.explode(F.array_distinct(F.array("source", "target"))).alias("node"), "fact")
-    text = bounded_text_agg(inc, ["node"], [F.col("fact")], F.col("fact"), ". ", 300, "description")
+    """Entities with their number of facts, described by the five that most sentences state."""
+    facts = found_relations(t).groupBy("source", "relation", "target").agg(F.count("*").alias("uses")).withColumn("fact", F.concat_ws(" ", "source", "relation", "target"))
+    inc = facts.select(F.explode(F.array_distinct(F.array("source", "target"))).alias("node"), "fact", "uses")
     counts = inc.groupBy("node").agg(F.count("*").alias("facts"))
-    units = found.select(F.col("entity").alias("node"), "type", "doc_id").distinct().groupBy("node", "type").agg(F.count("*").alias("text_units"))
+    text = in_order(top_n(inc, ["node"], [F.desc("uses"), F.col("fact")], 5), "node", "fact", ". ", "description")
+    units = found_mentions(t).select(F.col("entity").alias("node"), "type", "doc_id").distinct().groupBy("node", "type").agg(F.count("*").alias("text_units"))
     return units.join(counts, "node").join(text, "node").select("node", "type", "text_units", "facts", "description")
 
 
+def in_order(ranked, key: str, text: str, sep: str, out: str):
+    """The texts of a key's few ranked rows as one string."""
+    rows = F.array_sort(F.collect_list(F.struct("rn", F.col(text).alias("t"))))
+    return ranked.groupBy(key).agg(F.array_join(F.transform(rows, lambda r: r["t"]), sep).alias(out))
+
+
 def _canon(c: str) -> str:
     return f"array_to_string(list_transform(string_split({c}, ' '), lambda w: {sql_stem('w')}), ' ')"
 
@@ -148,7 +172,7 @@ SELECT source, target, CAST(sum(weight) AS BIGINT) AS weight, count(*) AS merged
 )
 def kg_alias_normalise(t):
     """Surfaces renamed to their canonical name at both ends, then merged again."""
-    e = kg.edges(found_relations(t))
+    e, _ = weighted_graph(t)
     renamed = e.select(kg.canonical(F.col("source")).alias("source"), kg.canonical(F.col("target")).alias("target"), "weight")
     return renamed.where("source <> target").groupBy("source", "target").agg(F.sum("weight").alias("weight"), F.count("*").alias("merged"))
 
@@ -162,7 +186,7 @@ SELECT node, coalesce(out_degree, 0) AS out_degree, coalesce(in_degree, 0) AS in
 )
 def graph_degree_source_sink(t):
     """Both ends of an edge become rows of one aggregation, so no join is needed."""
-    e = kg.edges(found_relations(t))
+    e, _ = weighted_graph(t)
     ends = e.select(F.explode(F.array(
         F.struct(F.col("source").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"), "weight"),
         F.struct(F.col("target").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"), "weight"),
@@ -218,39 +242,59 @@ SELECT source, target, count(*) AS evidence, min(doc_id) AS first_seen FROM rl,
 def graph_temporal_filter(t, margin: int = 50):
     """Edges whose evidence lies inside the seed's own window (text number = time)."""
     found = found_mentions(t)
-    rels = written(kg.relations(t.texts, found), "relations")
-    seed = seed_node(kg.undirected(kg.edges(rels)))
+    rels = found_relations(t)
+    seed = seed_node(weighted_graph(t)[1])
     win = found.join(seed, F.col("entity") == F.col("node"), "left_semi").agg((F.min("doc_id") + margin).alias("lo"), (F.max("doc_id") - margin).alias("hi"))
     inside = rels.join(F.broadcast(win)).where("doc_id BETWEEN lo AND hi")  # win is one row
     return inside.groupBy("source", "target").agg(F.count("*").alias("evidence"), F.min("doc_id").alias("first_seen"))
 
 
-@query()
+def _members_sql(levels: int = 14, sweeps: int = 2) -> str:
+    """Detection by levels of contraction as common table expressions; levels beyond the last that helps change nothing."""
+    out = ["lv0 AS MATERIALIZED (SELECT a, b, CAST(weight AS HUGEINT) AS weight FROM ud)", "mb0 AS (SELECT DISTINCT a AS node, a AS community FROM ud)"]
+    for v in range(levels):
+        lv, last = f"lv{v}", f"lb{v}_{2 * sweeps}"
+        out += [f"dk{v} AS MATERIALIZED (SELECT a AS node, CAST(sum(weight) AS HUGEINT) AS k FROM {lv} GROUP BY 1)", f"tm{v} AS MATERIALIZED (SELECT CAST(sum(k) AS HUGEINT) AS m FROM dk{v})", f"lb{v}_0 AS (SELECT node, k, node AS community FROM dk{v})"]
+        for r in range(2 * sweeps):
+            x, was = f"{v}_{r}", f"lb{v}_{r}"
+            out += [
+                f"tt{x} AS (SELECT community, sum(k) AS tot FROM {was} GROUP BY 1)",
+                f"op{x} AS (SELECT node, community, sum(w) AS w FROM (SELECT e.a AS node, x.community, e.weight AS w FROM {lv} e JOIN {was} x ON x.node = e.b WHERE e.a <> e.b UNION ALL SELECT node, community, 0 FROM {was}) GROUP BY 1, 2)",
+                f"gn{x} AS (SELECT o.node, o.community, y.community AS cur, y.k, o.w * m - y.k * (tot - CASE WHEN o.community = y.community THEN y.k ELSE 0 END) AS gain FROM op{x} o JOIN tt{x} USING (community) JOIN {was} y ON y.node = o.node, tm{v})",
+                f"lb{v}_{r + 1} AS MATERIALIZED (SELECT node, any_value(k) AS k, CASE WHEN (substr(md5(node || '{v}:{r // 2}'), 1, 1) < '8') = {str(r % 2 == 0).lower()} AND max(gain) > max(gain) FILTER (community = cur) THEN arg_min(community, (-gain, community)) ELSE any_value(cur) END AS community FROM gn{x} GROUP BY node)",
+            ]
+        out += [
+            f"in{v} AS MATERIALIZED (SELECT e.a, e.b FROM {lv} e JOIN {last} x ON x.node = e.a JOIN {last} y ON y.node = e.b WHERE x.community = y.community AND e.a <> e.b)",
+            f"cc{v}(node, root) AS (SELECT node, node FROM dk{v} UNION SELECT i.b, c.root FROM cc{v} c JOIN in{v} i ON i.a = c.node)",
+            f"lc{v} AS MATERIALIZED (SELECT node, min(root) AS community FROM cc{v} GROUP BY 1)",
+            f"sq{v} AS (SELECT sum(t * t) AS after, (SELECT sum(k * k) FROM dk{v}) AS before FROM (SELECT sum(k) AS t FROM lc{v} JOIN dk{v} USING (node) GROUP BY community))",
+            f"wi{v} AS (SELECT coalesce(sum(weight) FILTER (x.community = y.community), 0) AS after, coalesce(sum(weight) FILTER (a = b), 0) AS before FROM {lv} e JOIN lc{v} x ON x.node = e.a JOIN lc{v} y ON y.node = e.b)",
+            f"ok{v} AS MATERIALIZED (SELECT w.after * m - s.after > w.before * m - s.before AS ok FROM sq{v} s, wi{v} w, tm{v})",
+            f"fl{v} AS MATERIALIZED (SELECT node, CASE WHEN ok THEN community ELSE node END AS community FROM lc{v}, ok{v})",
+            f"mb{v + 1} AS MATERIALIZED (SELECT m.node, f.community FROM mb{v} m JOIN fl{v} f ON f.node = m.community)",
+            f"lv{v + 1} AS MATERIALIZED (SELECT x.community AS a, y.community AS b, CAST(sum(weight) AS HUGEINT) AS weight FROM {lv} e JOIN fl{v} x ON x.node = e.a JOIN fl{v} y ON y.node = e.b GROUP BY 1, 2)",
+        ]
+    return ",\n".join([*out, f"mb AS MATERIALIZED (SELECT node, community FROM mb{levels})"])
+
+
+_MEMBERS = f"{_EDGES},\n{_members_sql()}"
+
+
+@query(f"""{WITH}{_MEMBERS},
+tk2 AS (SELECT community, sum(weight) AS k FROM ud JOIN mb ON node = a GROUP BY 1),
+md AS (SELECT round((SELECT sum(weight) FROM ud JOIN mb x ON x.node = a JOIN mb y ON y.node = b WHERE x.community = y.community) / sum(k) - sum(k * k) / (sum(k) * sum(k)), 9) AS modularity FROM tk2)
+SELECT node, community, modularity FROM mb, md""")
 def community_detect(t):
-    """(node, community, modularity): connected communities of the undirected graph."""
-    _, pairs = weighted_graph(t)
-    lab = cut(graphs.communities(pairs))
-    return lab.join(F.broadcast(graphs.modularity(pairs, lab)))
+    """(node, community, modularity): connected communities of the undirected graph, by levels of contraction."""
+    members = members_of(t)
+    quality = graphs.modularity(weighted_graph(t)[1], members).select(F.round("modularity", 9).alias("modularity"))
+    return members.join(F.broadcast(quality))
 
 
 @query()
 def community_hierarchy(t):
-    _, pairs = weighted_graph(t)
-    tree = cut(graphs.hierarchy(pairs))
-    inner = tree.select(F.col("parent").alias("community")).distinct().withColumn("has_child", F.lit(True))
-    rows = tree.join(inner, "community", "left")
-    return rows.select("node", "level", "community", "parent", F.col("has_child").isNull().alias("is_leaf"))
-
-
-# membership given by data: a node belongs to the text that first linked it
-
-_MEMBERS = f"""{_EDGES},
-mb AS MATERIALIZED (SELECT node, min(f) AS community FROM (SELECT source AS node, first_chunk AS f FROM ed UNION ALL SELECT target, first_chunk FROM ed) GROUP BY 1)"""
-
-
-def home_community(e):
-    ends = e.select(F.explode(F.array("source", "target")).alias("node"), "first_chunk")
-    return ends.groupBy("node").agg(F.min("first_chunk").alias("community"))
+    """Communities split until none splits; each level's rows name their parent."""
+    return tree_of(t)
 
 
 @query(
@@ -262,8 +306,7 @@ SELECT community, size, CAST(internal AS BIGINT) AS internal_links, CAST(ext AS
   round(CASE WHEN size > 1 THEN internal / (size * (size - 1) / 2.0) ELSE 0 END, 6) AS density FROM sz JOIN l USING (community)"""
 )
 def community_stats(t):
-    e, pairs = weighted_graph(t)
-    return stats_of(pairs, home_community(e))
+    return stats_of(weighted_graph(t)[1], members_of(t))
 
 
 def stats_of(pairs, members):
@@ -283,9 +326,9 @@ def stats_of(pairs, members):
 SELECT count(*) AS nodes, count(*) FILTER (n = 0) AS without_community, count(*) FILTER (n > 1) AS in_several, count(*) FILTER (n <> 1) = 0 AS is_partition FROM c"""
 )
 def community_partition_check(t):
-    e = written(kg.edges(found_relations(t)), "edges")
-    nodes = e.select(F.explode(F.array("source", "target")).alias("node")).distinct()
-    c = nodes.join(home_community(e), "node", "left").groupBy("node").agg(F.count("community").alias("n"))
+    """Every node of the edges in exactly one detected community: nodes are counted from the edges, members as they were stored."""
+    nodes = weighted_graph(t)[0].select(F.explode(F.array("source", "target")).alias("node")).distinct()
+    c = nodes.join(members_of(t), "node", "left").groupBy("node").agg(F.count("community").alias("n"))
     return c.agg(
         F.count("*").alias("nodes"), F.count_if(F.col("n") == 0).alias("without_community"), F.count_if(F.col("n") > 1).alias("in_several"),
         (F.count_if(F.col("n") != 1) == 0).alias("is_partition"),
@@ -317,9 +360,7 @@ hs AS (SELECT community, string_agg(node, ' / ' ORDER BY rn) AS hubs FROM hb WHE
 SELECT community, hubs, coalesce(headline, 'no delay-related findings') AS headline FROM hs LEFT JOIN hl USING (community)"""
 )
 def community_headline(t):
-    rels = written(found_relations(t), "relations")
-    e = kg.edges(rels)
-    return headlines(rels, kg.undirected(e), home_community(e))
+    return headlines(found_relations(t), weighted_graph(t)[1], members_of(t))
 
 
 def headlines(rels, pairs, members):
@@ -334,50 +375,67 @@ def headlines(rels, pairs, members):
     return out.select("community", "hubs", F.coalesce("headline", F.lit("no delay-related findings")).alias("headline"))
 
 
+def within_words(rows, key: str, order, text: str, words: int, sep: str, out: str):
+    """(key, out): a key's first whole texts, in order, that fit a budget of words; at least the first one.
+
+    A text has a word at least, so no more than `words` of them can fit and a key never sends more."""
+    from pyspark.sql import Window
+
+    head = top_n(rows.withColumn("__n", F.size(F.split(text, " "))), [key], order, words)
+    so_far = F.sum("__n").over(Window.partitionBy(key).orderBy("rn"))
+    return in_order(head.withColumn("__sum", so_far).where((F.col("__sum") <= words) | (F.col("rn") == 1)), key, text, sep, out)
+
+
 @query()
 def community_rollup(t, budget_words: int = 100):
-    """Leaf reports from facts; a parent takes its raw facts if they fit, else its children's headlines."""
-    rels = written(found_relations(t), "relations")
-    pairs = cut(kg.undirected(kg.edges(rels)))
-    tree = cut(graphs.hierarchy(pairs))
-    leaf_level = tree.agg(F.max("level").alias("m")).collect()[0]["m"]
+    """Leaf reports from facts; a parent takes its raw facts if they fit, else its children's headlines.
+
+    A report holds whole facts, heaviest first, up to the budget."""
+    rels, (_, pairs), tree = found_relations(t), weighted_graph(t), tree_of(t)
     members = tree.select("node", "community")
     facts = written(community_facts(rels, members), "facts")
     words = facts.groupBy("community").agg(F.sum(F.size(F.split("fact", " "))).alias("raw_words"), F.count("*").alias("facts"))
-    text = bounded_text_agg(facts, ["community"], [F.col("fact")], F.col("fact"), ". ", 2000, "raw_text")
+    text = within_words(facts, "community", [F.desc("weight"), F.col("fact")], "fact", budget_words, ". ", "raw_text")
     head = headlines(rels, pairs, members)
-    base = tree.select("community", "level", "parent").distinct().join(head, "community").join(words, "community", "left").join(text, "community", "left")
+    base = tree.select("community", "level", "parent", "is_leaf").distinct().join(head, "community").join(words, "community", "left").join(text, "community", "left")
     base = written(base, "reports")
-    kids = base.where("parent <> 'root'").select(F.col("parent").alias("community"), F.col("community").alias("child"), "headline")
-    kid_text = bounded_text_agg(kids, ["community"], [F.col("child")], F.concat_ws(": ", "child", "headline"), " || ", 2000, "child_text")
+    kids = base.where("parent <> 'root'").select(F.col("parent").alias("community"), F.concat_ws(": ", F.col("community"), "headline").alias("line"))
+    kid_text = within_words(kids, "community", [F.col("line")], "line", budget_words, " || ", "child_text")
     rows = base.join(kid_text, "community", "left")
-    fits = (F.col("level") == leaf_level) | F.col("child_text").isNull() | (F.coalesce("raw_words", F.lit(0)) <= budget_words)
-    method = F.when((F.col("level") == leaf_level) | F.col("child_text").isNull(), "leaf").when(fits, "parent: facts fit").otherwise("parent: child reports")
+    fits = F.col("is_leaf") | F.col("child_text").isNull() | (F.coalesce("raw_words", F.lit(0)) <= budget_words)
+    method = F.when(F.col("is_leaf") | F.col("child_text").isNull(), "leaf").when(fits, "parent: facts fit").otherwise("parent: child reports")
     return rows.select(
         "community", "level", "parent", F.col("hubs").alias("title"), "headline", method.alias("method"), F.coalesce("raw_words", F.lit(0)).alias("raw_words"),
         F.when(fits, F.coalesce("raw_text", F.lit(""))).otherwise(F.col("child_text")).alias("report"),
     )
 
 
-def _probe(t, store, key: str, text: str, k: int = 3):
-    corpus = store.select(key, hashed(F.col(text)).alias("embedding")).where(F.size("embedding") > 0)
-    questions = t.benchmark.select("item_id", hashed(F.col("text")).alias("embedding"))
-    return best_per_query(corpus, key, questions, "item_id", k)
+def name_id(name):
+    """A number for a name, which vector search needs as a key."""
+    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
+
+
+def whole_vectors(parts, key: str, text: str):
+    """(key, embedding): hashed word counts of all texts of a key, added up by (key, dimension); no text is put together."""
+    counted = parts.select(key, F.explode(hashed(F.col(text))).alias("dim")).groupBy(key, "dim").agg(F.count("*").cast("double").alias("tf"))
+    dims = counted.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("dim", "tf"))).alias("m"))  # DIMS entries at most
+    return dims.select(key, F.transform(F.sequence(F.lit(0), F.lit(DIMS - 1)), lambda d: F.coalesce(F.try_element_at("m", d), F.lit(0.0))).alias("embedding"))
+
+
+def _probe(t, parts, key: str, text: str, k: int = 3):
+    """Best keys of every question, by the words of all texts that belong to a key."""
+    return best_per_query(whole_vectors(parts, key, text), key, whole_vectors(t.benchmark, "item_id", "text"), "item_id", k)
 
 
 @query()
 def stores_three(t):
     """Chunk, entity and report stores, embedded alike and probed with every question."""
-    rels = written(found_relations(t), "relations")
-    e = kg.edges(rels)
-    ends = rels.select(F.explode(F.array("source", "target")).alias("node"), F.concat_ws(" ", "source", "relation", "target").alias("fact")).distinct()
-    nodes = bounded_text_agg(ends, ["node"], [F.col("fact")], F.col("fact"), ". ", 500, "body").withColumn("id", F.xxhash64("node"))
-    facts = community_facts(rels, home_community(e))
-    reports = bounded_text_agg(facts, ["community"], [F.col("fact")], F.col("fact"), ". ", 2000, "body").withColumnRenamed("community", "id")
+    rels = found_relations(t)
+    nodes = rels.select(F.explode(F.array("source", "target")).alias("node"), F.concat_ws(" ", "source", "relation", "target").alias("body")).distinct().withColumn("id", name_id(F.col("node")))
+    reports = community_facts(rels, members_of(t)).select(name_id(F.col("community")).alias("id"), F.col("fact").alias("body"))
     chunks = t.texts.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
-    stores = {"chunks": chunks, "entities": nodes.select("id", "body"), "reports": reports.select("id", "body")}
     out = None
-    for name, df in stores.items():
+    for name, df in {"chunks": chunks, "entities": nodes, "reports": reports}.items():
         part = _probe(t, df, "id", "body").select(F.lit(name).alias("store"), "item_id", "id", "similarity", "rank")
         out = part if out is None else out.unionByName(part)
     return out
@@ -390,8 +448,7 @@ SELECT doc_id, entities, row_number() OVER (ORDER BY entities DESC, doc_id) AS p
 )
 def local_search(t, k: int = 10):
     """Texts ranked by how many entities of the seed's two-hop neighbourhood they mention."""
-    found = found_mentions(t)
-    pairs = cut(kg.undirected(kg.edges(kg.relations(t.texts, found))))
+    found, (_, pairs) = found_mentions(t), weighted_graph(t)
     return local_ranking(found, graphs.khop(pairs, seed_node(pairs), 2), k)
 
 
@@ -412,10 +469,10 @@ def _vec_sql(name: str, source: str, key: str) -> str:
 
 @query(
     f"""{WITH}{_FACTS},
-rp AS (SELECT community, left(string_agg(fact, '. ' ORDER BY fact), 2000) AS text FROM cf GROUP BY 1),
+rp AS (SELECT community, fact AS text FROM cf),
 {_vec_sql('r', 'rp', 'community')}, {_vec_sql('b', 'benchmark', 'item_id')},
 s AS (SELECT item_id, community, round(sum(r_v.w * b_v.w), 6) AS sim FROM r_v JOIN b_v USING (dim) GROUP BY 1, 2),
-k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY sim DESC, community) AS rn FROM s),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY sim DESC, ('0x' || substr(md5(community), 1, 15))::BIGINT) AS rn FROM s),
 m AS (SELECT item_id, community, CAST(round(100 * sim) AS INTEGER) AS score FROM k WHERE rn <= 25 AND round(100 * sim) >= 33),
 p AS (SELECT item_id, fact AS point, count(*) AS support, max(score) AS best_score FROM m JOIN cf USING (community) WHERE is_cause GROUP BY 1, 2),
 z AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY support DESC, best_score DESC, point) AS rank FROM p)
@@ -423,14 +480,16 @@ SELECT item_id, point, support, best_score, rank FROM z WHERE rank <= 5"""
 )
 def global_map_reduce(t, reports: int = 25, threshold: int = 33, keep: int = 5):
     """Map: best reports per question give scored points. Filter weak ones. Reduce: pool, merge, rank."""
-    rels = written(found_relations(t), "relations")
-    facts = written(community_facts(rels, home_community(kg.edges(rels))), "facts")
-    return map_reduce(t, facts, reports, threshold, keep)
+    return map_reduce(t, facts_of(t), reports, threshold, keep)
+
+
+def facts_of(t):
+    """(id, fact, is_cause, weight): the facts of every detected community, which is named by a number."""
+    return derived(t, "facts", lambda: written(community_facts(found_relations(t), members_of(t)).select(name_id(F.col("community")).alias("community"), "fact", "is_cause", "weight"), "facts"))
 
 
 def map_reduce(t, facts, reports: int, threshold: int, keep: int):
-    text = bounded_text_agg(facts, ["community"], [F.col("fact")], F.col("fact"), ". ", 2000, "body")
-    mapped = _probe(t, text, "community", "body", reports).select("item_id", "community", F.round(100 * F.col("similarity")).cast("int").alias("score"))
+    mapped = _probe(t, facts, "community", "fact", reports).select("item_id", "community", F.round(100 * F.col("similarity")).cast("int").alias("score"))
     kept = mapped.where(F.col("score") >= threshold)
     points = kept.join(facts.where("is_cause").select("community", F.col("fact").alias("point")), "community")
     pooled = points.groupBy("item_id", "point").agg(F.count("*").alias("support"), F.max("score").alias("best_score"))
@@ -441,12 +500,8 @@ def map_reduce(t, facts, reports: int, threshold: int, keep: int):
 @query()
 def drift_hybrid(t):
     """Primer from the reports, refinement in two hops around the seed, follow-ups on the seed's own links."""
-    found = found_mentions(t)
-    rels = written(kg.relations(t.texts, found), "relations")
-    e = written(kg.edges(rels), "edges")
-    pairs = cut(kg.undirected(e))
-    seed = cut(seed_node(pairs))
-    facts = written(community_facts(rels, home_community(e)), "facts")
+    found, (_, pairs) = found_mentions(t), weighted_graph(t)
+    seed, facts = cut(seed_node(pairs)), facts_of(t)
     primer = map_reduce(t, facts, 25, 33, 3).select(F.lit("primer").alias("stage"), F.col("point").alias("item"), F.col("support").alias("weight"))
     refine = local_ranking(found, graphs.khop(pairs, seed, 2), 5).select(F.lit("refine").alias("stage"), F.col("doc_id").cast("string").alias("item"), F.col("entities").alias("weight"))
     linked = pairs.join(seed, pairs["a"] == seed["node"]).orderBy(F.desc("weight"), "b").limit(5)
@@ -461,11 +516,11 @@ SELECT source, target, CAST(weight - added AS BIGINT) AS weight_before, weight A
 )
 def freshness_impact(t):
     """What the newest linked text changed: edge weights before and after, reports to rebuild."""
-    rels = written(found_relations(t), "relations")
-    e = kg.edges(rels)
+    rels = found_relations(t)
+    e = weighted_graph(t)[0]
     newest = rels.agg(F.max("doc_id").alias("d"))
     touched = rels.join(F.broadcast(newest)).where("doc_id = d").groupBy("source", "target").agg(F.count("*").alias("added"))
-    rows = e.join(touched, ["source", "target"]).join(home_community(e).withColumnRenamed("node", "source"), "source")
+    rows = e.join(touched, ["source", "target"]).join(members_of(t).withColumnRenamed("node", "source"), "source")
     return rows.select(
         "source", "target", (F.col("weight") - F.col("added")).alias("weight_before"), F.col("weight").alias("weight_after"), "community", (F.col("weight") == F.col("added")).alias("is_new")
     )
@@ -477,7 +532,7 @@ c AS (SELECT alias, doc_id, lag(doc_id) OVER (PARTITION BY alias ORDER BY doc_id
 SELECT previous, doc_id, count(*) AS n, min(alias) AS first_shared, max(alias) AS last_shared FROM c WHERE previous IS NOT NULL GROUP BY 1, 2"""
 )
 def entity_bridges(t):
-    return kg.bridges(kg.mentions(t.texts, kg.catalogue(t.texts)))
+    return kg.bridges(found_mentions(t))
 
 
 @query(
@@ -487,7 +542,7 @@ SELECT CAST(n AS BIGINT) AS queries, index_work, round(index_work / n + 3, 6) AS
 )
 def index_cost_model(t):
     """Index work spread over the number of queries, from real counts."""
-    e = written(kg.edges(found_relations(t)), "edges")
+    e = weighted_graph(t)[0]
     texts = t.texts.agg(F.count("*").alias("texts"))
     ents = e.select(F.explode(F.array("source", "target")).alias("n")).distinct().agg(F.count("*").alias("entities"))
     counts = texts.join(F.broadcast(ents)).join(F.broadcast(e.agg(F.count("*").alias("edges"))))  # one row each

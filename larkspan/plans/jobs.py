@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from larkspan import lexicons as lx
 from larkspan.functions import pii, scoring
 from larkspan.functions.text import numbers, sentences, tokens
-from larkspan.operators import graphs, kg
+from larkspan.operators import graphs
 from larkspan.operators.chunking import PLAIN, chunk_recursive
 from larkspan.operators.extractive import distinctive_terms
 from larkspan.operators.search import hashed
@@ -15,11 +15,11 @@ from larkspan.operators.textindex import TextIndex, add_batch, search
 from larkspan.operators.vectors import best_per_query
 from larkspan.plans import sqltext as q
 from larkspan.plans.evaluation import link_coverage
-from larkspan.plans.graph import community_facts, home_community, local_ranking, map_reduce, seed_node
+from larkspan.plans.graph import facts_of, found_mentions, local_ranking, map_reduce, members_of, seed_node, weighted_graph
 from larkspan.plans.retrieval import _BM25
 from larkspan.plans.textual import aspect_sentiment, check_claims, triage, with_words
 from larkspan.registry import query
-from larkspan.storage import cut, scratch, written
+from larkspan.storage import scratch, written
 
 _ABUSE = list(lx.TOPIC_TERMS["abuse"])
 _P, _N = q.pos_neg("w", lx.SAMPLE_SENTIMENT)
@@ -96,18 +96,12 @@ def job_ask_documents(t):
 @query()
 def job_graph_rag(t):
     """Extract, build the graph, detect communities, write reports, route and search."""
-    found = written(kg.mentions(t.texts, kg.catalogue(t.texts)), "mentions")
-    rels = written(kg.relations(t.texts, found), "relations")
-    e = written(kg.edges(rels), "edges")
-    pairs = cut(kg.undirected(e))
-    members = cut(graphs.communities(pairs))
-    ids = members.groupBy("community").agg(F.xxhash64("community").alias("id")).select("community", "id")
-    facts = written(community_facts(rels, members.join(ids, "community").select("node", F.col("id").alias("community"))), "facts")
-    answer = map_reduce(t, facts, 25, 33, 3).select(F.lit("global").alias("mode"), F.col("item_id").cast("string").alias("subject"), F.col("point").alias("result"), F.col("rank"))
+    found, (_, pairs), members = found_mentions(t), weighted_graph(t), members_of(t)
+    answer = map_reduce(t, facts_of(t), 25, 33, 3).select(F.lit("global").alias("mode"), F.col("item_id").cast("string").alias("subject"), F.col("point").alias("result"), F.col("rank"))
     near = local_ranking(found, graphs.khop(pairs, seed_node(pairs), 2), 5)
     local = near.select(F.lit("local").alias("mode"), F.lit("seed").alias("subject"), F.col("doc_id").cast("string").alias("result"), F.col("position").alias("rank"))
-    homes = home_community(e).agg(F.countDistinct("community").alias("n"))
-    size = homes.select(F.lit("summary").alias("mode"), F.lit("first-link groups").alias("subject"), F.col("n").cast("string").alias("result"), F.lit(1).cast("bigint").alias("rank"))
+    homes = members.agg(F.countDistinct("community").alias("n"))
+    size = homes.select(F.lit("summary").alias("mode"), F.lit("communities").alias("subject"), F.col("n").cast("string").alias("result"), F.lit(1).cast("bigint").alias("rank"))
     return answer.unionByName(local).unionByName(size)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,3 +46,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_DERIVED: dict[tuple[str, str, str], object] = {}
+
+
+def derived(t, name: str, build):
+    """What `build()` makes of a directory's documents, made once per state of their files in this application.
+
+    It has to leave its tables in the shared store, so that later queries read them instead of the texts."""
+    files = t.documents.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    n, state = files.agg(F.count("*"), F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time"))).first()
+    known = (t.spark.sparkContext.applicationId, f"{t.sf_dir}:{n}:{state}", name)
+    if known not in _DERIVED:
+        _DERIVED[known] = build()
+    return _DERIVED[known]
