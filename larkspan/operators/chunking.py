@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
@@ -30,8 +31,9 @@ def cut_points(text: str, size: int, separators: Sequence[str]) -> list[int]:
                 points += range(a + size, b, size)
                 continue
             at = text.find(sep, a, b)
+            behind = 1 if sep.endswith("# ") else len(sep)  # a heading's marks open the chunk it begins
             while at != -1:
-                points.append(at + len(sep))
+                points.append(at + behind)
                 at = text.find(sep, at + len(sep), b)
         points = sorted(set(points))
     return points
@@ -84,6 +86,43 @@ def chunk_recursive(df: DataFrame, key: str, text: str, size: int, overlap: int,
     return df.select(key, text).mapInArrow(run, schema)
 
 
+FORMATS = {"plain": PLAIN, "markdown": MARKDOWN}
+HEADING = re.compile(r"^(#{1,6}) +(.+?)[ \t]*$", re.MULTILINE)
+
+
+def heading_paths(text: str) -> list[tuple[int, str]]:
+    """(start, path) of every Markdown heading; the path names the headings it stands under."""
+    open_, out = [], []
+    for m in HEADING.finditer(text):
+        depth = len(m[1])
+        open_ = [(d, h) for d, h in open_ if d < depth] + [(depth, m[2])]
+        out.append((m.start(), " > ".join(h for _, h in open_)))
+    return out
+
+
+def chunk_by_format(df: DataFrame, key: str, text: str, fmt: str, size: int, overlap: int) -> DataFrame:
+    """(key, fmt, chunk_index, start_index, heading, chunk): each row split by the separators of its own format.
+
+    Markdown chunks keep the path of headings they start under, other chunks an empty one. An unknown or null
+    format is plain; null text gives no chunks."""
+    schema = T.StructType([df.schema[key], T.StructField(fmt, T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("start_index", T.IntegerType()), T.StructField("heading", T.StringType()), T.StructField("chunk", T.StringType())])
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for k, kind, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                kind = kind if kind in FORMATS else "plain"
+                paths = heading_paths(body or "") if kind == "markdown" else []
+                for n, (a, b) in enumerate(spans(body or "", size, overlap, FORMATS[kind])):
+                    under = [p for at, p in paths if at <= a]
+                    rows.append((k, kind, n, a, under[-1] if under else "", body[a:b]))
+            cols = list(zip(*rows)) or [[] for _ in schema.names]
+            kinds = [batch.schema.field(0).type, pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=schema.names)
+
+    return df.select(key, fmt, text).mapInArrow(run, schema)
+
+
 def chunk_fixed(df: DataFrame, key: str, text: str, size: int, overlap: int) -> DataFrame:
     """Sliding windows; ceil((L - overlap) / (size - overlap)) chunks, one at least."""
     step = size - overlap

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from larkspan.operators.chunking import LINES, PLAIN, chunk_fixed, packed_lines, spans
+from larkspan.functions.html import html_to_markdown
+from larkspan.operators.chunking import LINES, PLAIN, chunk_by_format, chunk_fixed, packed_lines, spans
 from larkspan.operators.chunking import chunk_recursive as split_recursive
 from larkspan.registry import query
 
@@ -16,6 +17,14 @@ def chunk_recursive(t):
     return split_recursive(t.texts, "doc_id", "text", 1512, 256, PLAIN)
 
 
+@query()
+def chunk_formats(t):
+    """Pages as Markdown and documents as plain text in one table, each row split by its own format."""
+    pages = t.pages.select(F.concat(F.lit("page/"), "page_id").alias("source_id"), F.lit("markdown").alias("format"), html_to_markdown(F.col("html")).alias("text"))
+    docs = t.texts.select(F.concat(F.lit("doc/"), "doc_id").alias("source_id"), F.lit("plain").alias("format"), "text")
+    return chunk_by_format(pages.unionByName(docs), "source_id", "text", "format", 1000, 200)
+
+
 _FIXED = """
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, CAST(i * 900 AS INTEGER) AS start_index, substring(text, CAST(i * 900 + 1 AS BIGINT), 1000) AS chunk
 FROM (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil((length(text) - 100) / 900.0) AS BIGINT), 1))) AS i FROM documents WHERE length(text) > 0)"""

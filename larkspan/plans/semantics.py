@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larkspan.plans.semantic_model import SALES
 from larkspan.registry import query
-from larkspan.tables import values
+from larkspan.tables import SCHEMAS, values
 
 ROUNDING = 4
 
@@ -73,6 +74,7 @@ def semantic_query(t, model: dict, metrics: list[str], dimensions: list[str], wh
     """METRICS by DIMENSIONS. Each metric is aggregated at the grain of its own
     table and the results are joined on the dimensions, so nothing fans out."""
     by_table: dict[str, list[str]] = {}
+    filtered = tables_of(model, where)
     for m in metrics:
         by_table.setdefault(model["metrics"][m]["table"], []).append(m)
     dims = {d: model["dimensions"][d] for d in dimensions}
@@ -81,13 +83,24 @@ def semantic_query(t, model: dict, metrics: list[str], dimensions: list[str], wh
         needed = [d["table"] for d in dims.values() if d["table"] != table]
         for m in names:
             needed += [n for n in model["metrics"][m].get("needs", []) if n not in needed]
+        needed += [n for n in filtered if n != table and n not in needed]
         rows = with_facts(star(t, model, table, needed), model, table)
         if where:
             rows = rows.where(where)
         grouped = rows.groupBy(*[F.expr(d["expr"]).alias(n) for n, d in dims.items()])
         parts.append(grouped.agg(*[F.expr(model["metrics"][m]["expr"]).alias(m) for m in names]))
-    out = parts[0] if len(parts) == 1 else reduce(lambda a, b: a.join(b, dimensions, "full"), parts)
-    return out.select(*dimensions, *metrics)
+    if len(parts) == 1:
+        return parts[0].select(*dimensions, *metrics)
+    # rows of one group meet by grouping, which takes NULL for a value like any other; a join would not
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return every.groupBy(*dimensions).agg(*[F.max(m).alias(m) for m in metrics])
+
+
+def tables_of(model: dict, where: str | None) -> list[str]:
+    """Tables of the model whose columns a filter names."""
+    names = set(re.findall(r"[A-Za-z_]\w*", re.sub(r"'[^']*'", "", where or "")))
+    columns = lambda spec: {c.strip().split(" ")[0] for c in SCHEMAS[spec["source"]].split(",")}
+    return [n for n, spec in model["tables"].items() if columns(spec) & names]
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:

@@ -15,7 +15,7 @@ from larkspan.functions.html import (
     steps_as_sql,
 )
 from larkspan.registry import query
-from larkspan.sources.files import conform, content_type, extension, listing, read_csv, split_rejects
+from larkspan.sources.files import CORRUPT, conform, content_type, extension, listing, read_csv, split_rejects
 from larkspan.storage import scratch, written
 from larkspan.tables import SCHEMAS, values
 
@@ -39,16 +39,31 @@ def src_csv_typed(t):
 
 @query(
     """
-SELECT c_custkey, c_name AS customer_name, c_nationkey, c_acctbal,
-       c_mktsegment, CAST(NULL AS VARCHAR) AS loyalty_tier FROM customer"""
+SELECT c_custkey, c_name AS customer_name, c_nationkey, c_acctbal, c_mktsegment,
+       CASE WHEN c_custkey % 2 = 1 THEN CASE WHEN c_acctbal > 5000 THEN 'gold' ELSE 'basic' END END AS loyalty_tier,
+       c_custkey % 2 = 1 AS rejected_at_first FROM customer"""
 )
 def src_schema_drift(t):
-    """Customer in an older shape (short a column, one renamed) brought to the target schema."""
-    target = (
-        "c_custkey BIGINT, customer_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
-        "c_mktsegment STRING, loyalty_tier STRING"
-    )
-    return conform(t.customer, target, {"c_name": "customer_name"})
+    """A feed whose later files have one column more and another name: the old schema rejects their rows,
+    which are loaded again by the new schema; both shapes end in one table."""
+    old_shape = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    target = "c_custkey BIGINT, customer_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING, loyalty_tier STRING"
+    feed, odd = scratch(t.spark, "drift"), F.col("c_custkey") % 2 == 1
+    tier = F.when(F.col("c_acctbal") > 5000, "gold").otherwise("basic")
+    t.customer.where(~odd).write.option("header", True).csv(f"{feed}/old")
+    drifted = t.customer.where(odd).withColumn("loyalty_tier", tier).withColumnRenamed("c_name", "customer_name")
+    drifted.write.option("header", True).csv(f"{feed}/new")
+    tables = []
+    for shape in ("old", "new"):
+        good, rejects = split_rejects(written(read_csv(t.spark, f"{feed}/{shape}", old_shape), f"drift_{shape}"))
+        tables.append(conform(good, target, {"c_name": "customer_name"}).withColumn("rejected_at_first", F.lit(False)))
+        rejects.write.parquet(f"{feed}/rejects_{shape}")
+        if not rejects.isEmpty():
+            again = read_csv(t.spark, f"{feed}/{shape}", target)
+            key = F.split_part(CORRUPT, F.lit(","), F.lit(1)).cast("bigint").alias("c_custkey")
+            keys = t.spark.read.schema(f"{CORRUPT} STRING").parquet(f"{feed}/rejects_{shape}").select(key)
+            tables.append(conform(split_rejects(written(again, "drift_again"))[0], target).join(keys, "c_custkey", "left_semi").withColumn("rejected_at_first", F.lit(True)))
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query()

@@ -14,7 +14,7 @@ from larkspan.operators.enrich import stub_provider
 from larkspan.operators.extractive import distinctive_terms, summarize_groups, summarize_rows
 from larkspan.operators.setjoin import most_shared
 from larkspan.operators.similarity import near_duplicates
-from larkspan.operators.skew import top_n
+from larkspan.operators.skew import prefix_sums, top_n
 from larkspan.operators.textindex import stored_sets
 from larkspan.operators.vectors import best_per_query, label_centroids
 from larkspan.plans import sqltext as q
@@ -392,6 +392,30 @@ def conv_speaker_turns(t):
     return g.withColumn("share", F.round(F.col("words") / F.sum("words").over(Window.partitionBy("conv_id")), 6))
 
 
+@query(
+    f"""
+WITH w AS (SELECT conv_id, turn, role, text, len({q.toks('text')}) AS n FROM conversations)
+SELECT conv_id, turn, role AS speaker, CAST(sum(n) OVER (PARTITION BY conv_id ORDER BY turn) - n AS BIGINT) AS start_word, CAST(sum(n) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS end_word, text FROM w"""
+)
+def conv_turn_rows(t, span: int = 256):
+    """Who said what and when: a row per turn with its place in the conversation, counted in words."""
+    w = t.conversations.select("conv_id", "turn", F.col("role").alias("speaker"), "text", F.size(tokens(F.col("text"))).cast("bigint").alias("n"))
+    rows = prefix_sums(w, ["conv_id"], F.floor(F.col("turn") / span), [F.col("turn")], {"end_word": F.col("n")})
+    return rows.select("conv_id", "turn", "speaker", (F.col("end_word") - F.col("n")).alias("start_word"), "end_word", "text")
+
+
+@query(
+    f"""
+WITH w AS (SELECT conv_id, turn, role, {q.toks('text')} AS ws FROM conversations),
+o AS (SELECT *, coalesce(sum(len(ws)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM w)
+SELECT conv_id, turn, role AS speaker, CAST(start + i - 1 AS BIGINT) AS position, ws[i] AS word FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM o)"""
+)
+def conv_word_rows(t):
+    """Word-level rows of the transcript: speaker, place in the conversation, word."""
+    rows = conv_turn_rows(t).select("conv_id", "turn", "speaker", "start_word", F.posexplode(tokens(F.col("text"))).alias("i", "word"))
+    return rows.select("conv_id", "turn", "speaker", (F.col("start_word") + F.col("i")).alias("position"), "word")
+
+
 _PIECES = f"len(regexp_extract_all(text, '{lx.PIECE_PATTERN}'))"
 
 

@@ -57,3 +57,28 @@ def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
 
 def clock(c, fmt: str = "yyyy-MM-dd HH:mm:ss"):
     return F.date_format(c, fmt)
+
+
+def first_arrivals(out: str, key: str, keep_batches: int | None = None) -> Callable[[DataFrame, int], None]:
+    """Sink that keeps the first arrival of each key, whenever it comes and whatever its event time.
+
+    The keys of every batch are stored beside its rows and joined with the next ones, so a late first arrival is
+    kept and a later copy dropped, across runs and restarts; a replayed batch overwrites itself. With
+    `keep_batches`, keys older than so many batches expire. Within a batch one row of a key stays. Null keys
+    can't be told apart and all stay."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        one = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+        known = f"{out}/keys"
+        if batch_id > 0:
+            seen = spark.read.schema(f"{key} {batch.schema[key].dataType.simpleString()}, batch_id INT").parquet(known)
+            seen = seen.where(F.col("batch_id") < batch_id)
+            seen = seen if keep_batches is None else seen.where(F.col("batch_id") >= batch_id - keep_batches)
+            one = one.join(seen.select(key), key, "left_anti")
+        fresh = one.select(*batch.columns).unionByName(batch.where(F.col(key).isNull()))
+        fresh.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+        stored = spark.read.schema(batch.schema).parquet(f"{out}/rows/batch_id={batch_id}")
+        stored.where(F.col(key).isNotNull()).select(key).write.mode("overwrite").parquet(f"{known}/batch_id={batch_id}")
+
+    return apply
