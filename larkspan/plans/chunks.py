@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -35,21 +38,28 @@ def chunk_fixed_overlap(t):
     return chunk_fixed(t.texts, "doc_id", "text", 1000, 100)
 
 
-class ChunkText:
-    """CHUNK_TEXT(text) -> (chunk, start_index): line separators, 500 / 100."""
+def chunk_text(rows):
+    """CHUNK_TEXT over a table of (doc_id, text): (doc_id, chunk, start_index), line separators, 500 / 100.
+
+    An Arrow table function: it takes and gives whole batches."""
 
-    def eval(self, text: str):
-        for a, b in spans(text or "", 500, 100, LINES):
-            yield text[a:b], a
+    @F.arrow_udtf(returnType="doc_id BIGINT, chunk STRING, start_index INT")
+    class ChunkText:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            keys, parts, starts = [], [], []
+            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                for a, b in spans(text or "", 500, 100, LINES):
+                    keys.append(key)
+                    parts.append(text[a:b])
+                    starts.append(a)
+            yield pa.table({"doc_id": pa.array(keys, pa.int64()), "chunk": pa.array(parts, pa.string()), "start_index": pa.array(starts, pa.int32())})
+
+    return ChunkText(rows.select("doc_id", "text").asTable())
 
 
 @query()
 def chunk_line_udtf(t):
-    from pyspark.sql.functions import udtf
-
-    t.spark.udtf.register("chunk_text", udtf(ChunkText, returnType="chunk STRING, start_index INT"))
-    t.texts.createOrReplaceTempView("udtf_documents")
-    return t.spark.sql("SELECT doc_id, c.chunk, c.start_index FROM udtf_documents, LATERAL chunk_text(text) AS c")
+    return chunk_text(t.texts)
 
 
 _LINES = """

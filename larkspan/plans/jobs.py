@@ -28,7 +28,7 @@ _P, _N = q.pos_neg("w", lx.SAMPLE_SENTIMENT)
 @query(
     f"""
 WITH c AS (SELECT doc_id, lang, source, {q.redact('text')} AS clean, text FROM documents),
-a AS (SELECT *, {q.toks('clean')} AS w FROM c WHERE {q.has(q.toks('clean'), _ABUSE)} OR clean LIKE '%[%]%' OR {q.has(q.toks('clean'), ['licensed', 'license'])}),
+a AS (SELECT *, {q.toks('clean')} AS w FROM c WHERE {q.has(q.toks('clean'), _ABUSE)} OR clean <> text OR {q.has(q.toks('clean'), ['licensed', 'license'])}),
 s AS (SELECT doc_id, lang, source, clean, w, {_P} AS p, {_N} AS n, {q.labels('w', lx.TOPIC_TERMS)}[1].label AS label FROM a),
 k AS (SELECT source, count(*) AS source_rows FROM s GROUP BY 1)
 SELECT doc_id, lang, source, coalesce(label, 'other') AS category, {q.sentiment('p', 'n')} AS sentiment, coalesce(nullif(regexp_extract(clean, '\\b(?:19|20)[0-9]{{2}}\\b'), ''), '') AS year_found,
@@ -36,10 +36,10 @@ SELECT doc_id, lang, source, coalesce(label, 'other') AS category, {q.sentiment(
 )
 def job_customer_intelligence(t):
     """Redact, filter actionable, classify and score, extract, aggregate, view with cost."""
-    clean = written(t.texts.select("doc_id", "lang", "source", pii.redact(F.col("text")).alias("text")), "clean")
+    clean = written(t.texts.select("doc_id", "lang", "source", pii.redact(F.col("text")).alias("text"), (pii.redact(F.col("text")) != F.col("text")).alias("masked")), "clean")
     w = F.col("words")
-    flagged = scoring.has_cue(w, _ABUSE) | F.col("text").rlike(r"(?s)\[.*\]") | scoring.has_cue(w, ["licensed", "license"])
-    actionable = with_words(clean, "doc_id", "lang", "source").where(flagged)
+    flagged = scoring.has_cue(w, _ABUSE) | F.col("masked") | scoring.has_cue(w, ["licensed", "license"])
+    actionable = with_words(clean, "doc_id", "lang", "source", "masked").where(flagged)
     pos, neg = scoring.polarity(w, lx.SAMPLE_SENTIMENT)
     scored = actionable.select(
         "doc_id", "lang", "source", F.coalesce(scoring.best_label(w, lx.TOPIC_TERMS), F.lit("other")).alias("category"), scoring.sentiment_label(pos, neg).alias("sentiment"),

@@ -51,7 +51,7 @@ def fn_string(t):
 SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(replace(text, ',', ''), '{NUMBER_PATTERN}'))), ' ') AS numbers,
        regexp_extract(text, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS first_date,
        CAST(len(string_split(regexp_replace(trim(text), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS BIGINT) AS sentences,
-       regexp_replace(left(text, 60), '[.,;:!?]', '', 'g') AS no_punctuation
+       regexp_replace(text, '[.,;:!?]', '', 'g') AS no_punctuation
 FROM documents"""
 )
 def fn_regex(t):
@@ -60,7 +60,7 @@ def fn_regex(t):
         F.array_join(F.array_sort(numbers(F.col("text"))), " ").alias("numbers"),
         F.regexp_extract("text", "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0).alias("first_date"),
         F.size(sentences(F.col("text"))).cast("bigint").alias("sentences"),
-        F.regexp_replace(F.substring("text", 1, 60), "[.,;:!?]", "").alias("no_punctuation"),
+        F.regexp_replace("text", "[.,;:!?]", "").alias("no_punctuation"),
     )
 
 

@@ -31,6 +31,14 @@ def test_chunks_follow_the_format_of_their_row(spark):
     assert any(r.chunk.startswith("## D") for r in got if r.id == "m")
 
 
+def test_table_function_equals_the_chunker(spark):
+    docs = Tables(spark, SF).documents.select("doc_id", "text").collect()
+    got = load_all()["chunk_line_udtf"](spark, SF)
+    assert got.rdd.getNumPartitions() > 1
+    want = {(r.doc_id, r.text[a:b], a) for r in docs for a, b in c.spans(r.text or "", 500, 100, c.LINES)}
+    assert {(r.doc_id, r.chunk, r.start_index) for r in got.collect()} == want
+
+
 def test_chunk_formats_reads_all_rows(spark):
     rows = load_all()["chunk_formats"](spark, SF).groupBy("format").agg(F.count_distinct("source_id").alias("n"), F.max(F.length("chunk")).alias("m")).collect()
     t = Tables(spark, SF)

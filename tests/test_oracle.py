@@ -1,4 +1,4 @@
-"""Every query with SQL of the quick sections, compared with DuckDB on the smallest tables."""
+"""Every query with SQL compared with DuckDB on the smallest tables."""
 
 import duckdb
 import pytest
@@ -8,7 +8,7 @@ from larkspan.registry import load_all
 from larkspan.tables import SCHEMAS
 
 SF = "/root/testdata/sf0.001"
-SECTIONS = {"predicates", "relational", "aggregates", "windows", "scalars", "semantics", "reports", "evaluation", "retrieval", "textual", "chunks"}
+SECTIONS = {"predicates", "relational", "aggregates", "windows", "scalars", "semantics", "reports", "evaluation", "retrieval", "textual", "chunks", "sources_sinks", "udfs", "streams", "jobs", "graph"}
 QUERIES = [n for n, q in load_all().items() if q.oracle and q.build.__module__.rsplit(".", 1)[1] in SECTIONS]
 
 
