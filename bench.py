@@ -15,7 +15,7 @@ HEADLINE = [
     "win_topn_per_group", "win_cumulative", "win_last_k_messages", "win_rank", "topk_global", "rpt_weekly_kpis", "rpt_customer_360", "rpt_product_insights",
     "src_html_pages", "token_count", "ai_classify_single", "ai_sentiment_overall", "ai_redact_mask", "ai_agg_instruction", "ai_summarize_row",
     "near_duplicate_text", "chunk_fixed_overlap", "chunk_recursive", "embed_hashing", "search_vector_topk", "search_lexical_bm25", "search_hybrid_rrf",
-    "claim_check", "ent_relations", "kg_merge_edges", "graph_khop", "st_windowed_counts", "job_customer_intelligence",
+    "search_lexical_filtered", "search_hybrid_filtered", "claim_check", "ent_relations", "kg_merge_edges", "graph_khop", "graph_components", "community_detect", "drift_hybrid", "job_graph_rag", "st_windowed_counts", "job_customer_intelligence",
 ]
 
 
