@@ -11,10 +11,12 @@ votes / (2 k + 1). The n-th seat lies between two known divisors, so all but
 about three quotients per party are settled without ranking them.
 
 A shard is a hash range of a source's documents, about `shard_words` long, put
-in a seeded order. Its words form a stream that is cut into blocks, and a seeded
-one-to-one map of the block numbers picks the shard's quota of them: each block
-is taken quota // n times, and quota mod n of them once more. So a hot source
-is many shards, no block is a row, and no document exceeds `most` times its size.
+in a seeded order. Its words form a stream that is cut into blocks: each block
+is taken quota // n times, and one run of quota mod n blocks, from a seeded
+place on, once more. The order is random already, so a run is a random choice of
+documents, and only those at its two ends are cut; what is taken of a document
+is one unbroken part of it. So a hot source is many shards, no block is a row,
+and no document exceeds `most` times its size.
 
 Defined results: null text has 0 words; rows without words take 0. Ties are
 ordered by key; rows that repeat a key are ordered by size, and equal rows are
@@ -34,7 +36,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 8
 SHARD_WORDS = 1 << 20
 SEED = "mix"
-STEPS = (1_000_003, 1_000_033)  # two primes: one of them has no factor in common with any block count below 10**12
 
 
 def _hash(text: Column) -> Column:
@@ -93,7 +94,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, halves: int = 3, most
         seed: str = SEED, key: str = "doc_id", text: str = "text", source: str = "source", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., size, source_size, target, taken, at, pick): words of each document that the mix takes.
 
-    `pick` is the shard's choice (n blocks, quota, step, shift) and `at` the
+    `pick` is the shard's choice (n blocks, quota, first block of the run) and `at` the
     document's place in the shard's stream; `times` tells from them how often a block is taken."""
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint")
     mark = F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))
@@ -113,10 +114,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, halves: int = 3, most
     words = sharded(slim).groupBy("__source", "__shard", "source_quota").agg(F.sum("size").alias("words"))
     n = F.greatest(F.ceil(F.col("words") / block), F.lit(1)).cast("bigint")
     words = apportion(words, ["__source"], ["__shard"], "words", "source_quota").withColumn("n", n)
-    step = F.when(F.col("n") % STEPS[0] != 0, STEPS[0]).otherwise(STEPS[1])
-    shift = F.pmod(_hash(F.concat_ws("|", F.lit(seed), F.coalesce("__source", F.lit("\0")), F.col("__shard").cast("string"))), F.col("n"))
     quota = F.least(F.col("quota"), F.col("n") * most)
-    choice = words.select(F.col("__source").alias("__cs"), F.col("__shard").alias("__ch"), F.struct("n", quota.alias("quota"), step.cast("bigint").alias("step"), shift.alias("shift")).alias("pick"))
+    # a run that does not go round the end
+    place = _hash(F.concat_ws("|", F.lit(seed), F.coalesce("__source", F.lit("\0")), F.col("__shard").cast("string")))
+    first = F.pmod(place, F.col("n") - quota % F.col("n") + 1)
+    choice = words.select(F.col("__source").alias("__cs"), F.col("__shard").alias("__ch"), F.struct("n", quota.alias("quota"), first.alias("first")).alias("pick"))
     stream = Window.partitionBy("__source", "__shard").orderBy("__mark", key, "size")
     placed = sharded(rows).withColumn("at", _before(F.col("size"), stream))
     out = placed.join(choice, F.col("__source").eqNullSafe(F.col("__cs")) & (F.col("__shard") == F.col("__ch")))
@@ -132,7 +134,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, halves: int = 3, most
 def times(b: Column) -> Column:
     """How often the mix takes block `b` of the row's shard."""
     p = F.col("pick")
-    return F.floor(p["quota"] / p["n"]) + F.when(F.pmod(F.pmod(b, p["n"]) * p["step"] + p["shift"], p["n"]) < p["quota"] % p["n"], 1).otherwise(0)
+    return F.floor(p["quota"] / p["n"]) + F.when((b >= p["first"]) & (b < p["first"] + p["quota"] % p["n"]), 1).otherwise(0)
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS, most: int = 2, **options) -> DataFrame:
@@ -176,10 +178,10 @@ h2 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY words / (2 * k
 h3 AS (SELECT source, shard, count(*) AS quota FROM h2 WHERE r <= source_quota GROUP BY ALL),
 h4 AS (SELECT h0.source, h0.shard, CAST(greatest(ceil(words / {BLOCK_WORDS}), 1) AS BIGINT) AS n, coalesce(quota, 0) AS quota
        FROM h0 LEFT JOIN h3 ON h0.source IS NOT DISTINCT FROM h3.source AND h0.shard = h3.shard),
-h5 AS (SELECT source, shard, n, least(quota, 2 * n) AS quota, CASE WHEN n % {STEPS[0]} <> 0 THEN {STEPS[0]} ELSE {STEPS[1]} END AS step,
-              CAST('0x' || substr(md5('{SEED}|' || coalesce(source, chr(0)) || '|' || shard), 1, 8) AS BIGINT) % n AS shift FROM h4),
-p AS (SELECT e.*, n, quota, step, shift, CAST(coalesce(sum(size) OVER (PARTITION BY e.source, e.shard ORDER BY mark, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
+h5 AS (SELECT source, shard, n, least(quota, 2 * n) AS quota,
+              CAST('0x' || substr(md5('{SEED}|' || coalesce(source, chr(0)) || '|' || shard), 1, 8) AS BIGINT) % (n - least(quota, 2 * n) % n + 1) AS first_block FROM h4),
+p AS (SELECT e.*, n, quota, first_block, CAST(coalesce(sum(size) OVER (PARTITION BY e.source, e.shard ORDER BY mark, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
       FROM e JOIN h5 ON e.source IS NOT DISTINCT FROM h5.source AND e.shard = h5.shard)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(CASE WHEN size = 0 THEN 0 ELSE list_sum(list_transform(range(pos // {BLOCK_WORDS}, (pos + size - 1) // {BLOCK_WORDS} + 1),
-       lambda b: (quota // n + CASE WHEN (b % n * step + shift) % n < quota % n THEN 1 ELSE 0 END) * (least((b + 1) * {BLOCK_WORDS}, pos + size) - greatest(b * {BLOCK_WORDS}, pos)))) END AS BIGINT) AS taken
+       lambda b: (quota // n + CASE WHEN b >= first_block AND b < first_block + quota % n THEN 1 ELSE 0 END) * (least((b + 1) * {BLOCK_WORDS}, pos + size) - greatest(b * {BLOCK_WORDS}, pos)))) END AS BIGINT) AS taken
 FROM p"""

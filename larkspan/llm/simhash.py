@@ -160,6 +160,15 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", limit:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of each group (and those without a doc_id)."""
-    kept = near_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__kept"), "left").where("__kept is not null or doc_id is null").select(*docs.columns)
+    """One row of each group: that of the smallest doc_id (rows without one last), then by the hash of the text.
+
+    Rows are told apart by a number of their own, so rows that repeat a doc_id or have none are documents like any other."""
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    slim = rows.select(F.col(row).alias("at"), "doc_id", "text")
+    groups = near_groups(slim, "at").select(F.col("at").alias("r"), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "at")
+    kept = slim.select("at", place.alias("place")).join(groups, F.col("at") == F.col("r")).groupBy("component_id").agg(F.min("place")["at"].alias("kept"))
+    return rows.join(kept, rows[row] == kept["kept"], "left_semi").select(*docs.columns)

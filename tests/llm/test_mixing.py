@@ -92,3 +92,14 @@ def test_mixed_documents_hold_the_taken_words(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert mixing.mix(df).count() == 0
+
+
+def test_taken_texts_have_no_holes(spark):
+    """Every row of the mix is one unbroken part of its document, and few documents of a shard are cut."""
+    docs = spark.createDataFrame([(i, " ".join(f"d{i}w{j}" for j in range(i % 40)), f"s{i % 3}") for i in range(900)], "doc_id long, text string, source string")
+    docs = docs.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("bigint"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = mixing.mixed_documents(docs, shard_words=2000).collect()
+    assert got and all(r.text in texts[r.doc_id] or r.text.strip() in texts[r.doc_id] for r in got)
+    shards = mixing.mix(docs, shard_words=2000, keep=["source"]).select("source", "pick").distinct().count()
+    assert sum(r.text.strip() != texts[r.doc_id].strip() for r in got) <= 2 * 2 * shards

@@ -88,3 +88,12 @@ def test_dense_postings_are_split_without_loss(spark, limit):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_groups(df).count() == 0
+
+
+def test_one_row_of_each_group_with_repeats_and_without_ids(spark):
+    a, b = "one two three four five six", "quite another text that has its own words here"
+    rows = [(1, a), (5, a), (5, b), (7, b), (None, a), (None, a), (None, "a third text, alone in the world of texts"), (1, a)]
+    docs = spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], "doc_id bigint, text string, component_id string, fingerprint string, __kept int")
+    got = simhash.one_of_each(docs.repartition(3))
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(1, a), (5, b), (0, rows[6][1])])
