@@ -22,15 +22,17 @@ import base64
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from larkspan.llm.worker import pieces_of, stash
 
-CACHE_PARTS = 1 << 18  # parts of texts a worker remembers; a store is emptied when full
+CACHE_PARTS = 1 << 18  # parts of texts a worker remembers; a store is emptied before it overflows
 CACHE_PIECES = 1 << 14  # matches it remembers, for parts of several
 CACHE_PAIRS = 1 << 17  # pairs of tokens it remembers
 SLICE = 1 << 21  # bytes of texts held as Python objects at a time
+STRETCH = 1 << 16  # characters of a text encoded at a time
 CACHE_CHARS = 48  # longer pieces are not remembered
 
 
@@ -93,13 +95,19 @@ class Encoder:
         if known is None:
             if len(self.fits) >= CACHE_PAIRS:
                 self.fits.clear()
-            known = self.fits[a << 20 | b] = not any(
-                (r := self.ranks.get(x + y)) is not None and r < x_until and r <= y_until
-                for x, x_until in self.edge(a, 1)
-                for y, y_until in self.edge(b, 0)
-            )
+            known = self.fits[a << 20 | b] = self.fit(a, b)
         return known
 
+    def fit(self, a: int, b: int) -> bool:
+        """`may_stand` worked out."""
+        get, right = self.ranks.get, self.edge(b, 0)
+        for x, x_until in self.edge(a, 1):
+            for y, y_until in right:
+                r = get(x + y)
+                if r is not None and r < x_until and r <= y_until:
+                    return False
+        return True
+
     def last_token(self, data: bytes, last: list[int], end: int) -> int:
         """The one token that can end the encoding of data[:end]; last[i] is that of data[:i]."""
         usable = self.usable
@@ -199,41 +207,80 @@ class Known(dict):
         self.of, self.limit = of, limit
 
     def __missing__(self, key: str) -> str:
-        if len(self) >= self.limit:
-            self.clear()
         ids = self.of(key)
+        self.keep(key, ids)
+        return ids
+
+    def keep(self, key: str, ids: str) -> None:
         if len(key) <= CACHE_CHARS:
+            if len(self) >= self.limit:
+                self.clear()
             self[key] = ids
-        return ids
 
 
-def text_encoder(shared, pattern: str):
-    """Text -> its ids, comma-joined, and back to bytes; made once per worker.
+class TextEncoder:
+    """Texts to ids and back, in stretches of bounded length; made once per worker.
 
     A single space between two characters that aren't white space always begins
     a match, so a text may be cut there and each part be encoded by itself."""
-    import regex
 
+    def __init__(self, ranks, splits, pattern: str):
+        import regex
+
+        from larkspan.llm.bpe_batch import LONGEST, Batch
+
+        self.encoder, self.find, self.longest = Encoder(ranks, splits), regex.compile(pattern).findall, LONGEST
+        self.batch = Batch(self.encoder)
+        self.pieces = Known(lambda piece: ",".join(map(str, self.encoder.piece(piece.encode()))), CACHE_PIECES)
+        self.opening = Known(lambda part: ",".join(map(self.pieces.__getitem__, self.find(part))), CACHE_PIECES)
+        self.spaced = Known(lambda part: ",".join(map(self.pieces.__getitem__, self.find(" " + part))), CACHE_PARTS)
+        self.runs, self.cut = re.compile(r"\s | \s|\A | \Z").search, re.compile(r"(?<=\S) (?=\S)")
+        size = max(self.encoder.bytes_of, default=0) + 1
+        self.blob = np.frombuffer(b"".join(self.encoder.bytes_of.get(i, b"") for i in range(size)), np.uint8)
+        self.length = self.batch.size.astype(np.int64)
+        self.offset = np.cumsum(self.length) - self.length
+
+    def stretches(self, text: str) -> list[list[str]]:
+        """The parts of a text, STRETCH characters or a little more at a time; only the first part has no space before it."""
+        out, at = [], 0
+        while True:
+            border = self.cut.search(text, at + STRETCH) if len(text) > at + STRETCH else None
+            piece = text[at : border.start()] if border else text[at:]
+            out.append(self.cut.split(piece) if self.runs(piece) else piece.split(" "))
+            if not border:
+                return out
+            at = border.end()
+
+    def learn(self, parts: set[str]) -> None:
+        """Work out the ids of parts that follow a space, all side by side."""
+        if len(self.spaced) + len(parts) > CACHE_PARTS:
+            self.spaced.clear()
+        parts = [p for p in parts if len(p) <= CACHE_CHARS and p not in self.spaced]
+        found = [self.find(" " + p) for p in parts]
+        fresh = [m for m in {m for ms in found for m in ms} if m not in self.pieces and len(m.encode()) <= self.longest]
+        ids = dict(zip(fresh, (",".join(map(str, i)) for i in self.batch.ids([m.encode() for m in fresh]))))
+        for part, matches in zip(parts, found):
+            self.spaced.keep(part, ",".join([ids.get(m) or self.pieces[m] for m in matches]))
+
+    def __call__(self, parts: list[str], first: bool) -> str:
+        """Ids of a stretch, comma-joined."""
+        ids = [self.opening[parts[0]] if first else self.spaced[parts[0]], *map(self.spaced.__getitem__, parts[1:])]
+        return ",".join(ids) if len(ids) > 1 else ids[0]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        n = self.length[ids]
+        ends = np.cumsum(n)
+        if not len(ids):
+            return b""
+        return self.blob[np.repeat(self.offset[ids] - ends + n, n) + np.arange(ends[-1])].tobytes()
+
+
+def text_encoder(shared, pattern: str) -> TextEncoder:
     path, ranks, splits = shared.value
     held = stash("bpe")
     if held.get("of") != (path, pattern):
-        encoder, find = Encoder(ranks, splits), regex.compile(pattern).findall
-        pieces = Known(lambda piece: ",".join(map(str, encoder.piece(piece.encode()))), CACHE_PIECES)
-        opening = Known(lambda part: ",".join(map(pieces.__getitem__, find(part))), CACHE_PIECES)
-        spaced = Known(lambda part: ",".join(map(pieces.__getitem__, find(" " + part))), CACHE_PARTS)
-        held.update(of=(path, pattern), opening=opening, spaced=spaced, token_of={str(r): t for r, t in encoder.bytes_of.items()})
-    opening, spaced, token_of = held["opening"], held["spaced"], held["token_of"]
-    runs, inside = re.compile(r"\s | \s|\A | \Z").search, re.compile(r"(?<=\S) (?=\S)").split
-
-    def encode(text: str) -> str:
-        parts = inside(text) if runs(text) else text.split(" ")
-        first = opening[parts[0]]
-        return ",".join([first, *map(spaced.__getitem__, parts[1:])]) if len(parts) > 1 else first
-
-    def decode(ids: str) -> bytes:
-        return b"".join(map(token_of.__getitem__, ids.split(","))) if ids else b""
-
-    return encode, decode
+        held.update(of=(path, pattern), made=TextEncoder(ranks, splits, pattern))
+    return held["made"]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), with_ids: bool = False, remember: bool = True) -> DataFrame:
@@ -248,17 +295,34 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
     names = [*slim.drop(text).columns, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches):
-        encode, decode = text_encoder(shared, pattern)
+        encode = text_encoder(shared, pattern)
         for batch in batches:
             for part in pieces_of(batch, SLICE):
-                ids = [encode(t or "") for t in part.column(text).to_pylist()]
-                out = [
-                    pa.array([i.count(",") + 1 if i else 0 for i in ids], pa.int64()),
-                    pa.array([hashlib.sha256(i.encode()).hexdigest() for i in ids], pa.string()),
-                    pa.array([hashlib.sha256(decode(i)).hexdigest() for i in ids], pa.string()),
-                ]
+                texts = part.column(text).to_pylist()
+                short = [encode.stretches(t) for t in texts if t and len(t) <= STRETCH]
+                encode.learn({p for stretch in short for parts in stretch for p in parts[1:]})
+                del short
+                counts, shas, back, ids = [], [], [], []
+                for t in texts:
+                    n, sha, plain, held = 0, hashlib.sha256(), hashlib.sha256(), []
+                    for k, parts in enumerate(encode.stretches(t) if t else []):
+                        if len(t) > STRETCH:
+                            encode.learn(set(parts[k == 0 :]))
+                        found = encode(parts, k == 0)
+                        numbers = np.fromstring(found, np.int32, sep=",")
+                        n += len(numbers)
+                        sha.update(("," * (k > 0) + found).encode())
+                        plain.update(encode.decode(numbers))
+                        if with_ids:
+                            held.append(numbers)
+                    counts.append(n)
+                    shas.append(sha.hexdigest())
+                    back.append(plain.hexdigest())
+                    ids += held
+                out = [pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())]
                 if with_ids:
-                    out.append(pa.array([[int(x) for x in i.split(",")] if i else [] for i in ids], pa.list_(pa.int32())))
+                    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names[: len(names) - len(out)]] + out, names=names)
         if not remember:
             stash("bpe").clear()

@@ -75,3 +75,39 @@ def test_documents_equal_tiktoken(spark, tik):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert bpe.encode_documents(docs, PATH, P.PATTERN).count() == 0
+
+
+def test_many_matches_side_by_side_equal_the_programme_one_by_one(monkeypatch):
+    from larkspan.llm import bpe_batch
+
+    monkeypatch.setattr(bpe_batch, "PAIRS", 1 << 6)  # pairs take each other's places
+    monkeypatch.setattr(bpe_batch, "ROWS", 100)
+    rnd = random.Random(9)
+    ranks = {bytes([b]): b for b in range(256)}
+    while len(ranks) < 600:
+        parts = bpe.merged(ranks, bytes(rnd.choice(b"abc") for _ in range(12)))  # ranks as merging makes them: neighbours that stand
+        if len(parts) > 1:
+            at = rnd.randrange(len(parts) - 1)
+            ranks.setdefault(parts[at] + parts[at + 1], len(ranks))
+    encoder = bpe.Encoder(ranks)
+    data = [bytes(rnd.choice(b"abc\x00\xff") for _ in range(rnd.randint(1, 48))) for _ in range(900)] + list(ranks)
+    assert bpe_batch.Batch(encoder).ids(data) == [encoder.piece(d) for d in data]
+    assert bpe_batch.Batch(encoder).ids([]) == []
+
+
+def test_long_texts_in_stretches(spark, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe, "STRETCH", 50)
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice(["ab", "The", "é", "don't", " ", " ", "  ", "\n", " \t", "12", "日本", "."]) for _ in range(rnd.randint(0, 300))) for _ in range(60)] + [None, "", "x" * 3000, " " * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    import tiktoken
+
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    for r in bpe.encode_documents(docs, path, public_tokenizers.PATTERN, with_ids=True).collect():
+        want = plain.encode_ordinary(texts[r.doc_id] or "")
+        assert r.ids == want and r.n_tokens == len(want)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
