@@ -18,6 +18,10 @@ which at most 256 fingerprints can remain. Nothing is capped. A posting sends on
 only the links that join its fingerprints (a forest), never all its pairs;
 copies count once. Groups are found by label spreading with pointer jumps.
 
+`one_of_each` and `similar_groups` look for near copies instead: 512 bits over the
+distinct five-word shingles, at most 92 of them different, which is a similarity of
+about 0.8 or more. Their postings hold two positional bytes (see `wide_links`).
+
 Defined results: null, empty and blank texts have fingerprint zero and are
 linked like any other. Fewer than three words are one shingle. A null doc_id
 gets its group's smallest doc_id. Rows that repeat a doc_id are one document.
