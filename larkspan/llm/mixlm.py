@@ -12,8 +12,8 @@ selects, and the sum goes through a map from predicted to seen frequency; both
 weights and map learn from every decision they have coded. The total is the
 text's probability, and its bits per byte follow.
 
-Learning inside a text starts anew every SEGMENT symbols from `START` weights,
-the contexts do not; so all segments of a batch are coded side by side, one
+Learning inside a text starts anew every SEGMENT symbols from weights that all
+training rows gave (`learned_start`), the contexts do not; so all segments of a batch are coded side by side, one
 decision of each at a time.
 
 What a task holds: tables of fixed size and one slice of texts. Counts of slots
@@ -58,8 +58,6 @@ START = 0.35
 RATE = 0.02
 CELLS = 24  # cells of the map of probabilities, log odds -6 to 6
 MAP_RATE = 0.02
-SAMPLE = 128  # training rows from which the start weights are learned
-PASSES = 8
 PRIOR = 1.0  # added to the zeros and ones of a slot
 HELD_WORDS = 1 << 19  # distinct words counted in a task before they are passed on
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -354,28 +352,38 @@ def odds_of(total: np.ndarray) -> list[np.ndarray]:
     return [odds[a:b] for a, b in zip(OFFSETS, OFFSETS[1:])]
 
 
-def learned_start(train: DataFrame, key: str, text: str, code: Code, odds: list[np.ndarray], sample: int = SAMPLE) -> np.ndarray:
-    """Start weights: the mean after coding the `sample` training rows of smallest hash, each pass from the last's."""
-    spark = train.sparkSession
-    shared = spark.sparkContext.broadcast((code, odds))
-    order = F.xxhash64(key)
-    chosen = train.where(F.length(text) > 0).select(order.alias("h"), F.col(key).alias("k")).orderBy("h", "k").limit(sample).select(F.col("k").alias("__k")).distinct()
-    rows = train.join(F.broadcast(chosen), F.col(key).eqNullSafe(F.col("__k"))).select(text)
+def learned_start(train: DataFrame, text: str, code: Code, odds: list[np.ndarray]) -> np.ndarray:
+    """Start weights from every decision of all training rows: by gate, one Newton step of a logistic regression from START, kept within 0 and 1.
+
+    A task sends GATES times k + k * k sums, so the weights are those of all rows however they are split."""
+    shared = train.sparkSession.sparkContext.broadcast((code, odds))
+    k = len(BITS)
 
     def run(batches):
         code, odds = shared.value
-        start, held = flat_start(), []
+        sums = np.zeros((GATES, k + k * k))
         for batch in batches:
-            held += [words_of(t) for part in pieces_of(batch) for t in part.column(text).to_pylist()]
-        for _ in range(PASSES if held else 0):
-            start = text_log10(code, odds, start, held)[1]
-        yield pa.RecordBatch.from_arrays([pa.array([len(held)], pa.int64()), pa.array([start.ravel().tolist()], pa.list_(pa.float32()))], names=["n", "w"])
-
-    found = [r for r in rows.mapInArrow(run, "n BIGINT, w ARRAY<FLOAT>").collect() if r.n]
-    if not found:
-        return flat_start()
-    n = np.array([r.n for r in found], np.float64)
-    return ((np.array([r.w for r in found]) * n[:, None]).sum(axis=0) / n.sum()).astype(np.float32).reshape(GATES, -1)
+            for part in pieces_of(batch, SLICE):
+                data, starts, sizes = symbols(code, [words_of(t) for t in part.column(text).to_pylist()])
+                d = Decisions(code, data, positions(starts, sizes))
+                x = [table[d.slots(h, bits)] * np.float32(1 / 16) for table, h, bits in zip(odds, contexts(code, data), BITS)]
+                p = 1 / (1 + np.exp(-np.float32(START) * sum(x)))
+                off, spread = d.bit - p, p * (1 - p)
+                for i in range(k):
+                    sums[:, i] += np.bincount(d.gate, off * x[i], minlength=GATES)
+                    for j in range(i, k):
+                        both = np.bincount(d.gate, spread * x[i] * x[j], minlength=GATES)
+                        sums[:, k + k * i + j] += both
+                        if i != j:
+                            sums[:, k + k * j + i] += both
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size), pa.int32()), pa.array(sums.ravel())], names=["at", "v"])
+
+    sums = np.zeros(GATES * (k + k * k))
+    for r in train.select(text).mapInArrow(run, "at INT, v DOUBLE").groupBy("at").agg(F.sum("v").alias("v")).collect():  # GATES * (k + k * k) rows
+        sums[r.at] = r.v
+    sums = sums.reshape(GATES, -1)
+    steps = [np.linalg.solve(row[k:].reshape(k, k) + np.eye(k), row[:k]) for row in sums]
+    return np.clip(flat_start() + np.array(steps), 0, 1).astype(np.float32)
 
 
 def score(docs: DataFrame, folds: int = 7, held: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -393,7 +401,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, key: str = "doc_id", t
     code = Code(spelled, int(spelled[32]), ends, words)
     hot = spark.sparkContext.broadcast({w: math.log10(n + 1) for w, n in words})
     odds = odds_of(slot_counts(train, text, code))
-    model = spark.sparkContext.broadcast((code, odds, learned_start(train, key, text, code, odds)))
+    model = spark.sparkContext.broadcast((code, odds, learned_start(train, text, code, odds)))
     slim = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(key).alias("__key"), is_held.alias("held_out"), text)
 
     def run(batches):

@@ -105,3 +105,19 @@ def test_repeats_and_nothing_to_learn(spark):
     r = m.score(spark.createDataFrame([(held, "a b")], "doc_id bigint, text string")).first()
     assert (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0)
     assert m.score(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_start_weights_come_from_every_training_row(spark):
+    code, texts = small_code(random.Random(6))
+    rnd = np.random.default_rng(2)
+    odds = [rnd.integers(-40, 40, 1 << b).astype(np.int8) for b in m.BITS]
+    rows = [(i, " ".join(w.decode() for w in texts[i % len(texts)][: 1 + i % 7])) for i in range(400)]
+    got = m.learned_start(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), "text", code, odds)
+    data, starts, sizes = m.symbols(code, [m.words_of(t) for _, t in rows])
+    d = m.Decisions(code, data, m.positions(starts, sizes))
+    x = np.array([o[d.slots(h, b)] / 16 for o, h, b in zip(odds, m.contexts(code, data), m.BITS)])
+    p = 1 / (1 + np.exp(-m.START * x.sum(axis=0)))
+    for g in range(m.GATES):
+        of = d.gate == g
+        step = np.linalg.solve((x[:, of] * (p * (1 - p))[of]) @ x[:, of].T + np.eye(3), x[:, of] @ (d.bit - p)[of])
+        assert np.allclose(got[g], np.clip(m.START + step, 0, 1), atol=1e-3)
