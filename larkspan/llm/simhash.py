@@ -284,31 +284,55 @@ def _keyed(nodes: DataFrame, finer: bool) -> DataFrame:
     return nodes.mapInArrow(run, "key BIGINT, node BIGINT, fp BINARY")
 
 
+def _apart(split: DataFrame, found: DataFrame, bits: int, limit: int) -> DataFrame:
+    """(a, b): the links of long postings that `found` does not imply; `split` is (key, node, fp, n).
+
+    In each posting all rows outside its largest group so far are compared with all of its rows, a block of either at a
+    time. Two rows of one group are joined already, so no link between groups is missed."""
+    one = F.struct("node", "fp").alias("one")
+    labels = components(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    rows = split.join(labels, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    sizes = rows.groupBy("key", "part").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("key").agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"))
+    main = written(main.where(F.col("all") > F.col("most")), "apart")
+    rows = rows.join(main, "key").withColumn("cuts", F.ceil(F.col("all") / limit)).withColumn("others", F.ceil((F.col("all") - F.col("most")) / limit))
+    place = lambda n: F.pmod(F.xxhash64("node"), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    whole = rows.select("key", one, place(F.col("cuts")).alias("block"), every(F.col("others")).alias("other"))
+    rest = rows.where("part <> main").select("key", one, place(F.col("others")).alias("other"), every(F.col("cuts")).alias("block"))
+    pairs = whole.unionByName(rest).groupBy("key", "block", "other").agg(F.collect_set("one").alias("of")).where(F.size("of") > 1)
+    return _wide_forests(pairs.select("of"), bits).where("a <> b")
+
+
 def wide_links(distinct: DataFrame, bits: int = WIDE_BITS, limit: int = LIMIT) -> DataFrame:
     """(a, b): links that join close long fingerprints; `distinct` is (node, fp).
 
     At this distance no count of shared bytes is guaranteed: postings of two positional bytes are
     kept for 40 pairs of positions, of which a pair at similarity 0.8 meets in one or more with 95 %.
     A posting longer than `limit` is split by a third byte, for eight places. What is still longer are
-    families of copies: they are cut into blocks, and one fingerprint of each block stands in all of them."""
+    families of copies: they are cut into blocks, and one fingerprint of each block stands in all of them.
+    What these steps leave apart in a long posting is compared in full (`_apart`), so every posting is whole."""
     one = F.struct("node", "fp").alias("one")
-    keyed, found = _keyed(distinct, False), None
+    keyed, found, split = _keyed(distinct, False), None, None
     for finer in (False, True):
         large = written(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit), "long")
         whole = keyed.join(large, "key", "left_anti").groupBy("key").agg(F.collect_list(one).alias("of")).where(F.size("of") > 1)
         links = _wide_forests(whole.select("of"), bits)
         found = links if found is None else found.unionByName(links)
         if large.isEmpty():
-            return written(found.distinct(), "links")
+            break
         held = keyed.join(large, "key")
         if not finer:
-            keyed = _keyed(written(held.select("key", "node", "fp"), "split"), True)
-    cut = F.ceil(F.col("n") / limit)
-    blocks = held.withColumn("block", F.pmod(F.xxhash64("node"), cut))
-    stands = blocks.groupBy("key", "n", "block").agg(F.min_by(one, "node").alias("one")).select("key", "one", F.explode(F.sequence(F.lit(0), cut - 1)).alias("block"))
-    filled = blocks.select("key", "block", one).unionByName(stands.select("key", "block", "one"))
-    links = _wide_forests(filled.groupBy("key", "block").agg(F.collect_list("one").alias("of")).select("of"), bits).where("a <> b")
-    return written(found.unionByName(links).distinct(), "links")
+            split = written(held.select("key", "node", "fp"), "split")
+            keyed = _keyed(split, True)
+    else:
+        cut = F.ceil(F.col("n") / limit)
+        blocks = held.withColumn("block", F.pmod(F.xxhash64("node"), cut))
+        stands = blocks.groupBy("key", "n", "block").agg(F.min_by(one, "node").alias("one")).select("key", "one", F.explode(F.sequence(F.lit(0), cut - 1)).alias("block"))
+        filled = blocks.select("key", "block", one).unionByName(stands.select("key", "block", "one"))
+        found = found.unionByName(_wide_forests(filled.groupBy("key", "block").agg(F.collect_list("one").alias("of")).select("of"), bits).where("a <> b"))
+    found = written(found.distinct(), "links")
+    return found if split is None else written(found.unionByName(_apart(split, found, bits, limit)).distinct(), "links")
 
 
 def similar_groups(docs: DataFrame, key: str, text: str = "text", shingle: int = WIDE_SHINGLE, bits: int = WIDE_BITS, limit: int = LIMIT) -> DataFrame:

@@ -197,3 +197,18 @@ def test_similar_groups_of_hard_rows(spark):
     docs = spark.createDataFrame(rows, "at bigint, text string")
     assert {r.at: r.component_id for r in simhash.similar_groups(docs, "at").collect()} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5, 6: 6}
     assert simhash.similar_groups(docs.limit(0), "at").count() == 0
+
+
+def test_a_long_posting_is_compared_whole(spark):
+    """Two close fingerprints that share a long posting, but no third byte by which it is split, are linked."""
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    x = rnd.integers(0, 256, (30, 64), dtype=np.uint8)
+    x[:, :2] = 7  # all in the posting of the first two bytes
+    x[1] = x[0]
+    apart = [p for p in range(64) if p not in (0, 1, 40, 42, 44, 46)]
+    x[1, apart] ^= np.uint8(1) << rnd.integers(0, 8, len(apart)).astype(np.uint8)
+    df = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(x)], "node bigint, fp binary")
+    for limit in (8, 1024):
+        assert [tuple(sorted(r)) for r in simhash.wide_links(df, limit=limit).collect()] == [(0, 1)]
