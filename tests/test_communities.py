@@ -141,3 +141,75 @@ def test_hierarchy_splits_until_none_splits(spark):
 
 def test_no_links(spark):
     assert graphs.communities(spark.createDataFrame([], "a string, b string, weight long")).count() == 0
+
+
+VAIN = [(2, 8, 10), (3, 12, 20), (4, 40, 80)]  # graphs of which one moves in vain on a level
+
+
+def level_of(links, depth, sweeps=2):
+    """{node: community} of one level of one graph."""
+    k = Counter()
+    for (a, _), w in links.items():
+        k[a] += w
+    m, label = sum(k.values()), {n: n for n in k}
+    for r in range(2 * sweeps):
+        tot, fresh = Counter(), dict(label)
+        near = {n: Counter({label[n]: 0}) for n in k}
+        for n in k:
+            tot[label[n]] += k[n]
+        for (a, b), w in links.items():
+            if a != b:
+                near[a][label[b]] += w
+        for n in k:
+            gain = {c: w * m - k[n] * (tot[c] - (k[n] if c == label[n] else 0)) for c, w in near[n].items()}
+            best = min(gain, key=lambda c: (-gain[c], c))
+            if half(n, depth, r // 2) == (r % 2 == 0) and gain[best] > gain[label[n]]:
+                fresh[n] = best
+        label = fresh
+    return split(links, label)
+
+
+def plain_groups(parts):
+    """({node: community}, levels that a group moved on in vain) of graphs that go on while any of them improves."""
+    member, depth, vain = {a: a for links in parts for a, _ in links}, 0, 0
+    while True:
+        raised = False
+        for i, links in enumerate(parts):
+            label = level_of(links, depth)
+            if quality(links, label) > quality(links, {n: n for n in label}):
+                raised = True
+                member = {n: label.get(c, c) for n, c in member.items()}
+                up = Counter()
+                for (a, b), w in links.items():
+                    up[label[a], label[b]] += w
+                parts[i] = dict(up)
+            else:
+                vain += label != {n: n for n in label}
+        if not raised:
+            return member, vain
+        depth += 1
+
+
+def test_groups_that_a_level_does_not_raise(spark):
+    """They keep their links and are tried again, as long as another group improves."""
+    parts = [{(f"{i}{a}", f"{i}{b}"): w for (a, b), w in graph(s, n, x).items()} for i, (s, n, x) in enumerate(VAIN)]
+    every = {e: w for links in parts for e, w in links.items()}
+    groups = spark.createDataFrame([(n, n[0]) for n in {a for a, _ in every}], "node string, g string")
+    want, vain = plain_groups(parts)
+    assert vain
+    assert {r.node: r.community for r in graphs.communities(frame(spark, every), groups=groups).collect()} == want
+
+
+def test_weights_beyond_long_products(spark):
+    links = {e: w * 10**10 for e, w in graph(1, 12, 20).items()}
+    got = {r.node: r.community for r in graphs.communities(frame(spark, links)).collect()}
+    assert got == plain(links)
+
+
+def test_rounds_move_numbers(spark, monkeypatch):
+    """Of all stage tables only that of the numbered nodes holds names."""
+    calls = []
+    monkeypatch.setattr(graphs, "cut", lambda df, f=graphs.cut: calls.append(df.dtypes) or f(df))
+    graphs.communities(frame(spark, graph(0, 2, 0, 6))).collect()
+    named = [c for c in calls if "string" in dict(c).values()]
+    assert len(named) == 1 and len(calls) > 10
