@@ -146,3 +146,18 @@ def test_a_running_stream_keeps_the_index_within_its_lag(spark):
         q.stop()
     rows, qs = asked(spark, docs, 5)
     close(found(x, qs, 4), plain(docs, rows, 4))
+
+
+def test_scores_add_up_where_the_block_lies(spark, monkeypatch):
+    """Postings are dealt by block before they meet questions, which come in one group or in several."""
+    docs = made(300, 11)
+    asked = [(i, d[1]) for i, d in enumerate(docs[:9]) if d[1]] + [(90, "nothingofthis")]
+    at = index(spark)
+    ti.add_batch(at, spark.createDataFrame(docs, SCHEMA), 0)
+    questions = spark.createDataFrame(asked, "q long, text string")
+    for size in (1024, 2):
+        monkeypatch.setattr(ti, "QUESTIONS", size, raising=False)
+        found = ti.search(at, questions, "q", 5)
+        assert sorted((r.q, r.id, r.score, r["rank"]) for r in found.collect()) == plain(docs, asked, 5)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(batch_id#\d+L?, block#\d+L?, \d+\), REPARTITION_BY_COL", plan)
