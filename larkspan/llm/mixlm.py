@@ -33,6 +33,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,9 @@ OFFSETS = tuple(sum(1 << b for b in BITS[:i]) for i in range(len(BITS) + 1))
 SLOTS = 1 << 14  # numbers in a travelling block
 SEGMENT = 256
 SLICE = 1 << 20
+HELD_DECISIONS = 3 << 20  # decisions held by a task at once, some 20 bytes each
+NEAR = 1 << 17  # decisions worked on at once
+TOGETHER = 32
 GATES = 6
 START = 0.35
 RATE = 0.02
@@ -104,9 +108,9 @@ class Code:
         self.first = np.concatenate([[0], np.cumsum(self.length)[:-1]])
         node = np.array([node for p in paths for node, _ in p], np.uint64)
         self.mixed_node = (node * MIX >> np.uint64(32)).astype(np.uint32)
-        self.bit = np.array([bit for p in paths for _, bit in p], np.int8)
+        bit = np.array([bit for p in paths for _, bit in p], np.int8)
         depth = np.concatenate([np.arange(n) for n in self.length])
-        self.gate = (np.minimum(depth, 2) + 3 * (node >= 256)).astype(np.int8)
+        self.mark = bit + 2 * (np.minimum(depth, 2) + 3 * (node >= 256)).astype(np.int8)  # of a decision: its bit, and twice its gate
 
 
 # --- decisions and their slots ----------------------------------------------------------------------------------
@@ -114,21 +118,23 @@ class Code:
 
 def symbols(code: Code, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols with PAD end marks before each text, where each text starts, how many symbols it has)."""
-    get, data, starts, sizes = code.symbol.get, [], [], []
-    for words in texts:
-        data += (END,) * PAD
-        starts.append(len(data))
-        for w in words:
-            s = get(w)
-            if s is None:
-                data.append(ESCAPE)
-                data += w
-                data.append(32)
-            else:
-                data.append(s)
-        data.append(END)
-        sizes.append(len(data) - starts[-1])
-    return np.array(data, np.int64), np.array(starts, np.int64), np.array(sizes, np.int64)
+    flat = [w for words in texts for w in words]
+    found = np.fromiter(map(code.symbol.get, flat, repeat(ESCAPE)), np.int64, len(flat))
+    rare = np.flatnonzero(found == ESCAPE)
+    width = np.ones(len(flat) + 1, np.int64)  # symbols of a word: itself, or the escape, its bytes and a blank
+    width[rare] = [len(flat[i]) + 2 for i in rare.tolist()]
+    width[-1] = 0
+    n_words = np.array([len(words) for words in texts], np.int64)
+    ends = np.cumsum(n_words)
+    before = np.concatenate([[0], np.cumsum(width[:-1])])
+    sizes = before[ends] - before[ends - n_words] + 1
+    starts = np.cumsum(sizes + PAD) - sizes
+    data = np.full(len(texts) * PAD + int(sizes.sum()), END, np.int64)
+    place = before[:-1] + np.repeat(starts - before[ends - n_words], n_words)
+    data[place] = found
+    spelled = np.frombuffer(b"".join(flat[i] + b" " for i in rare.tolist()), np.uint8)
+    data[positions(place[rare] + 1, width[rare] - 1)] = spelled
+    return data, starts, sizes
 
 
 def contexts(code: Code, data: np.ndarray) -> list[np.ndarray]:
@@ -137,19 +143,31 @@ def contexts(code: Code, data: np.ndarray) -> list[np.ndarray]:
     n, at = len(x), np.arange(len(x))
     is_byte = data < 256
     with np.errstate(over="ignore"):
-        past = [np.concatenate([np.zeros(k, np.uint64), x[:-k]]) for k in (1, 2, 3, 4)]
         opened = np.maximum.accumulate(np.where(is_byte, 0, at))  # the escape of a byte's word
         deep = at - opened
-        past = [np.where(deep > k, p, np.uint64(0)) for k, p in enumerate(past)]
-        two = past[0] + past[1] * np.uint64(509)
-        four = two + past[2] * np.uint64(509**2) + past[3] * np.uint64(509**3)
+
+        def past(k: int) -> np.ndarray:
+            out = np.zeros(n, np.uint64)
+            np.multiply(x[:-k], deep[k:] >= k, out=out[k:])
+            out *= np.uint64(509 ** (k - 1))
+            return out
+
+        two = past(1) + past(2)
+        four = two + past(3)
+        four += past(4)
         # hash of the word so far: a difference of running sums, shifted back to the word's start
         base = 0xD1342543DE82EF95
-        power, back = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
-        power[:1] = back[:1] = 1
-        power, back = np.cumprod(power, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-        upto = np.cumsum(x * power, dtype=np.uint64)
-        word = (upto - x * power - upto[opened]) * back[opened]
+        power = np.full(n, base, np.uint64)
+        power[:1] = 1
+        np.cumprod(power, out=power)
+        power *= x
+        upto = np.cumsum(power)
+        word = upto - power
+        word -= upto.take(opened)
+        power[:] = pow(base, -1, 1 << 64)
+        power[:1] = 1
+        np.cumprod(power, out=power)
+        word *= power.take(opened)
         out = [two, four, word]
         # for word symbols: the words before; the last byte before them
         w = np.flatnonzero(~is_byte)
@@ -168,25 +186,57 @@ class Decisions:
     """All decisions of the given positions of `data`, in order."""
 
     def __init__(self, code: Code, data: np.ndarray, at: np.ndarray):
-        found = data[at]
-        self.at, self.each = at, code.length[found]
-        ends = np.cumsum(self.each)
+        found = data.take(at)
+        each = code.length.take(found)
+        ends = np.cumsum(each)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total, dtype=np.int32) + np.repeat((code.first[found] - ends + self.each).astype(np.int32), self.each)
-        self.mixed_node, self.bit, self.gate = code.mixed_node[place], code.bit[place], code.gate[place]
+        self.at, self.symbol = at, np.repeat(np.arange(len(at)), each)  # of a decision: which of the positions
+        place = (code.first.take(found) - ends + each).take(self.symbol)
+        place += np.arange(total)
+        self.mixed_node, self.mark = code.mixed_node.take(place), code.mark.take(place)
+
+    @property
+    def bit(self) -> np.ndarray:
+        return self.mark & 1
+
+    @property
+    def gate(self) -> np.ndarray:
+        return self.mark >> 1
 
     def slots(self, hashes: np.ndarray, bits: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            h = np.repeat(hashes[self.at], self.each)
+            h = hashes.take(self.at).take(self.symbol)
             h ^= self.mixed_node
             h *= np.uint32(0x85EBCA6B)
         h >>= np.uint32(32 - bits)
-        return h.view(np.int32)
+        return h.astype(np.intp)
 
 
 def positions(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(starts, sizes)
+    out = np.repeat(starts - ends + sizes, sizes)
+    out += np.arange(len(out))
+    return out
+
+
+def groups(decisions: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of neighbours that have about `most` together: from, to."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(decisions) // most)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(decisions)]))
+
+
+def decisions_at(code: Code, data: np.ndarray, at: np.ndarray, most: int):
+    """The decisions of the given positions in order, about `most` at a time."""
+    for lo, hi in groups(code.length[data[at]], most):
+        yield Decisions(code, data, at[lo:hi])
+
+
+def decisions_of(code: Code, texts: list[list[bytes]], most: int):
+    """All decisions of the texts, about `most` at a time, and the hashes of their contexts."""
+    data, starts, sizes = symbols(code, texts)
+    hashes = contexts(code, data)
+    for d in decisions_at(code, data, positions(starts, sizes), most):
+        yield d, hashes
 
 
 # --- mixing -----------------------------------------------------------------------------------------------------
@@ -196,74 +246,161 @@ def flat_start() -> np.ndarray:
     return np.full((GATES, len(BITS)), START, np.float32)
 
 
-def text_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """(log10 of the model's probability of each text, the mean of the weights after the segments)."""
-    data, starts, sizes = symbols(code, texts)
-    at = positions(starts, sizes)
-    d = Decisions(code, data, at)
-    # lanes: segments of texts, longest first
-    inside = at - np.repeat(starts, sizes)
-    new = inside % SEGMENT == 0
-    lane_of = np.cumsum(new) - 1
-    text_of_lane = np.repeat(np.arange(len(sizes)), sizes)[new]
-    lane = np.repeat(lane_of, d.each)
-    lengths = np.bincount(lane)
-    rank = np.empty(len(lengths), np.int64)
-    rank[np.argsort(-lengths, kind="stable")] = np.arange(len(lengths))
-    step = np.arange(len(lane)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    active = np.bincount(step)
-    dest = (np.cumsum(active) - active)[step] + rank[lane]
-    n, k, lanes = len(lane), len(BITS), len(lengths)
-    inputs = np.empty((k, n), np.float32)
-    for row, table, h, bits in zip(inputs, odds, contexts(code, data), BITS):
-        row[dest] = table[d.slots(h, bits)] * np.float32(1 / 16)
-    bit = np.empty(n, np.float32)
-    bit[dest] = d.bit
-    gate = np.empty(n, np.intp)
-    gate[dest] = d.gate.astype(np.intp) * lanes + rank[lane]
-    weights = np.repeat(start.T, lanes, axis=1)  # (inputs, gates x lanes)
+def side_by_side(first: np.ndarray, length: np.ndarray):
+    """The first place of every run, the second of every run and so on, longest runs first, in blocks of about NEAR
+    places: (places, the run of each in that order, how many runs each turn has)."""
+    by = np.argsort(-length, kind="stable")
+    turns, first = int(length[by[0]]), first[by]
+    active = len(by) - np.cumsum(np.bincount(length))[:turns]
+    for lo, hi in groups(active, NEAR):
+        some = active[lo:hi]
+        run = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
+        places = first[run]
+        places += np.repeat(np.arange(lo, hi), some)
+        yield places, run, some.tolist()
+
+
+def inputs_of(d: Decisions, odds: list[np.ndarray], hashes: list[np.ndarray]) -> np.ndarray:
+    """Per decision the log odds of its contexts in sixteenths and its mark, in the four bytes of a number."""
+    packed = np.empty((len(d.mark), 4), np.int8)
+    for i, (table, h, bits) in enumerate(zip(odds, hashes, BITS)):
+        packed[:, i] = table.take(d.slots(h, bits))
+    packed[:, 3] = d.mark
+    return packed.view(np.uint32).ravel()
+
+
+def unpacked(packed: np.ndarray, kind=np.float32) -> tuple[np.ndarray, np.ndarray]:
+    """(log odds by context, bits)."""
+    x = np.empty((len(BITS), len(packed)), kind)
+    x[:] = packed.view(np.int8).reshape(-1, 4)[:, : len(BITS)].T
+    x *= kind(1 / 16)
+    return x, bits_of(packed)
+
+
+def bits_of(packed: np.ndarray) -> np.ndarray:
+    return (packed >> np.uint32(24) & np.uint32(1)).astype(np.float32)
+
+
+def gates_of(packed: np.ndarray) -> list[np.ndarray]:
+    """The decisions of each gate, in order."""
+    gate = (packed >> np.uint32(25)).astype(np.uint8)
+    order = np.argsort(gate, kind="stable")
+    return np.split(order, np.searchsorted(gate.take(order), np.arange(1, GATES)))
+
+
+def chances(z: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-z))."""
+    p = np.negative(z)
+    np.exp(p, out=p)
+    p += 1
+    return np.reciprocal(p, out=p)
+
+
+def lanes_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, data: np.ndarray, hashes: list[np.ndarray], first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log10 of each lane's probability, the sum of the lanes' last weights): a lane is `size` symbols from `first` on.
+
+    A gate's weights learn from its own decisions only, and a cell of the map from those that fall into it.
+    So the decisions of every lane and gate are coded side by side first, those of every lane in the map then."""
+    k, lanes = len(BITS), len(first)
+    at = positions(first, size)
+    ends = np.cumsum(np.add.reduceat(code.length[data[at]], np.cumsum(size) - size))
+    begin, n = np.concatenate([[0], ends[:-1]]), int(ends[-1])
+    packed, done = np.empty(n, np.uint32), 0
+    for d in decisions_at(code, data, at, NEAR):
+        packed[done : (done := done + len(d.mark))] = inputs_of(d, odds, hashes)
+    # the weights: runs are the decisions of a gate in a lane
+    by_gate = gates_of(packed)
+    run_first = np.concatenate([np.searchsorted(x, begin) for x in by_gate])
+    length = np.concatenate([np.searchsorted(x, ends) for x in by_gate]) - run_first
+    run_first += np.repeat(np.cumsum([0, *map(len, by_gate[:-1])]), lanes)
+    by_gate = np.concatenate(by_gate)
+    by = np.argsort(-length, kind="stable")
+    weights = np.repeat(start.T, lanes, axis=1)[:, by]  # (inputs, runs)
+    chance, spare = np.empty(n, np.float32), np.empty((k, len(by)), np.float32)
+    rate, one = np.float32(RATE), np.float32(1)
+    for places, _, active in side_by_side(run_first, length):
+        places = by_gate.take(places)
+        x, bit = unpacked(packed.take(places))
+        np.negative(x, out=x)  # so that a sum is what exp() takes
+        coded, at = np.empty(len(places), np.float32), 0
+        for a in active:
+            s = slice(at, at := at + a)
+            own, w, t = x[:, s], weights[:, :a], spare[:, :a]
+            np.multiply(w, own, out=t)
+            t, *rest = t
+            for y in rest:
+                t += y
+            coded[s] = t
+            np.exp(t, out=t)
+            t += one
+            np.reciprocal(t, out=t)
+            np.subtract(bit[s], t, out=t)
+            t *= rate
+            own *= t
+            w -= own
+        chance[places] = coded
+    used = np.empty_like(weights)
+    used[:, by] = weights
+    used = used.reshape(k, GATES, lanes).sum(axis=2, dtype=np.float64).T
+    # the map: runs are lanes
     cell_odds = (np.arange(CELLS, dtype=np.float32) + 0.5) / 2 - CELLS / 4
     seen = np.repeat((1 / (1 + np.exp(-cell_odds)))[:, None], lanes, axis=1).astype(np.float32).ravel()
-    chance = np.empty(n, np.float32)
-    lane_no = np.arange(lanes)
-    begin = 0
-    for a in active.tolist():
-        s = slice(begin, begin + a)
-        begin += a
-        g, b = gate[s], bit[s]
-        x = inputs[:, s]
-        w = [row.take(g) for row in weights]
-        dot = w[0] * x[0]
-        for i in range(1, k):
-            dot += w[i] * x[i]
-        p = np.exp(-dot)
-        p += 1
-        np.reciprocal(p, out=p)
-        off = b - p
-        off *= np.float32(RATE)
-        x *= off
-        for row, old, change in zip(weights, w, x):
-            old += change
-            row[g] = old
+    spare, rate = np.empty(lanes, np.float32), np.float32(MAP_RATE)
+    for places, run, active in side_by_side(begin, ends - begin):
+        dot, bit = -chance.take(places), bits_of(packed.take(places))
+        p = chances(dot)
         dot *= 2
         dot += CELLS / 2
         np.maximum(dot, 0, out=dot)
         np.minimum(dot, CELLS - 1, out=dot)
         cell = dot.astype(np.intp)
         cell *= lanes
-        cell += lane_no[:a]
-        q = seen.take(cell)
+        cell += run
+        mapped, at = dot, 0
+        for a in active:
+            s = slice(at, at := at + a)
+            c, t = cell[s], spare[:a]
+            q = seen.take(c, out=mapped[s], mode="clip")
+            np.subtract(bit[s], q, out=t)
+            t *= rate
+            t += q
+            seen[c] = t
         p *= 2
-        p += q
-        q += (b - q) * np.float32(MAP_RATE)
-        seen[cell] = q
+        p += mapped
         p *= np.float32(1 / 3)
-        p += b
+        p += bit
         p -= 1
-        np.abs(p, out=chance[s])
-    logs = np.log10(np.maximum(chance[dest], 1e-7).astype(np.float64))
-    used = weights.reshape(k, GATES, lanes).mean(axis=2).T if lanes else start
-    return np.bincount(text_of_lane[lane], logs, minlength=len(texts)), used.astype(np.float32)
+        np.abs(p, out=p)
+        chance[places] = np.maximum(p, np.float32(1e-7))
+    # logarithms of products: TOGETHER chances of 1e-7 are still a number
+    products = -(-(ends - begin) // TOGETHER)
+    lane = np.repeat(np.arange(lanes), products)
+    cuts = begin[lane] + TOGETHER * (np.arange(len(lane)) - (np.cumsum(products) - products)[lane])
+    return np.bincount(lane, np.log10(np.multiply.reduceat(chance, cuts, dtype=np.float64)), minlength=lanes), used
+
+
+def text_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(log10 of the model's probability of each text, the mean of the weights after the segments)."""
+    return symbols_log10(code, odds, start, *symbols(code, texts))
+
+
+def symbols_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(sizes):
+        return np.zeros(0), start
+    hashes = contexts(code, data)
+    # lanes: segments of texts, longest first
+    segments = -(-sizes // SEGMENT)
+    text = np.repeat(np.arange(len(sizes)), segments)
+    first = starts[text] + SEGMENT * (np.arange(len(text)) - (np.cumsum(segments) - segments)[text])
+    size = np.minimum(SEGMENT, (starts + sizes)[text] - first)
+    upto = np.concatenate([[0], np.cumsum(code.length[data])])
+    by = np.argsort(upto[first] - upto[first + size], kind="stable")
+    text, first, size = text[by], first[by], size[by]
+    logs, used = np.empty(len(text)), 0.0
+    for lo, hi in groups(upto[first + size] - upto[first], HELD_DECISIONS):
+        logs[lo:hi], weights = lanes_log10(code, odds, start, data, hashes, first[lo:hi], size[lo:hi])
+        used = used + weights
+    return np.bincount(text, logs, minlength=len(sizes)), (used / len(text)).astype(np.float32)
 
 
 # --- Spark jobs -------------------------------------------------------------------------------------------------
@@ -318,10 +455,13 @@ def slot_counts(texts: DataFrame, text: str, code: Code) -> np.ndarray:
         counts = np.zeros(size, np.uint32)
         for batch in batches:
             for part in pieces_of(batch, SLICE):
-                data, starts, sizes = symbols(shared.value, [words_of(t) for t in part.column(text).to_pylist()])
-                d = Decisions(shared.value, data, positions(starts, sizes))
-                for h, bits, offset in zip(contexts(shared.value, data), BITS, OFFSETS):
-                    counts[2 * offset : 2 * (offset + (1 << bits))] += np.bincount(d.slots(h, bits) * 2 + d.bit, minlength=2 << bits).astype(np.uint32)
+                for d, hashes in decisions_of(shared.value, [words_of(t) for t in part.column(text).to_pylist()], NEAR):
+                    for h, bits, offset in zip(hashes, BITS, OFFSETS):
+                        slot = d.slots(h, bits)
+                        slot += offset
+                        slot *= 2
+                        slot += d.bit
+                        np.add.at(counts, slot, np.uint32(1))
         blocks = counts.reshape(-1, SLOTS)
         some = np.flatnonzero(blocks.any(axis=1))
         for i in range(0, len(some), 16):
@@ -342,6 +482,7 @@ def slot_counts(texts: DataFrame, text: str, code: Code) -> np.ndarray:
     # as many rows as a table has blocks, however many texts: at most size / SLOTS
     for r in texts.select(text).mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).toLocalIterator():
         total[r.block * SLOTS : (r.block + 1) * SLOTS] = np.frombuffer(bytes(r.counts), np.uint64)
+    shared.destroy()
     return total
 
 
@@ -364,28 +505,32 @@ def learned_start(train: DataFrame, text: str, code: Code, odds: list[np.ndarray
         sums = np.zeros((GATES, k + k * k))
         for batch in batches:
             for part in pieces_of(batch, SLICE):
-                data, starts, sizes = symbols(code, [words_of(t) for t in part.column(text).to_pylist()])
-                d = Decisions(code, data, positions(starts, sizes))
-                x = [table[d.slots(h, bits)] * np.float32(1 / 16) for table, h, bits in zip(odds, contexts(code, data), BITS)]
-                p = 1 / (1 + np.exp(-np.float32(START) * sum(x)))
-                off, spread = d.bit - p, p * (1 - p)
-                for i in range(k):
-                    sums[:, i] += np.bincount(d.gate, off * x[i], minlength=GATES)
-                    for j in range(i, k):
-                        both = np.bincount(d.gate, spread * x[i] * x[j], minlength=GATES)
-                        sums[:, k + k * i + j] += both
-                        if i != j:
-                            sums[:, k + k * j + i] += both
+                for d, hashes in decisions_of(code, [words_of(t) for t in part.column(text).to_pylist()], NEAR):
+                    packed = inputs_of(d, odds, hashes)
+                    for total, at in zip(sums, gates_of(packed)):
+                        x, bit = unpacked(packed.take(at))
+                        p = chances(np.float32(START) * sum(x))
+                        y = x.astype(np.float64)
+                        total[:k] += y @ (bit - p).astype(np.float64)
+                        total[k:] += ((y * (p * (1 - p))) @ y.T).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size), pa.int32()), pa.array(sums.ravel())], names=["at", "v"])
 
     sums = np.zeros(GATES * (k + k * k))
     for r in train.select(text).mapInArrow(run, "at INT, v DOUBLE").groupBy("at").agg(F.sum("v").alias("v")).collect():  # GATES * (k + k * k) rows
         sums[r.at] = r.v
+    shared.destroy()
     sums = sums.reshape(GATES, -1)
     steps = [np.linalg.solve(row[k:].reshape(k, k) + np.eye(k), row[:k]) for row in sums]
     return np.clip(flat_start() + np.array(steps), 0, 1).astype(np.float32)
 
 
+def listed(counts: list[Counter]) -> pa.Array:
+    """A list of (w, c) for each."""
+    ends = np.cumsum([0, *map(len, counts)]).astype(np.int32)
+    pairs = [pa.array([w for c in counts for w in c], pa.binary()), pa.array([n for c in counts for n in c.values()], pa.int64())]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(pairs, ["w", "c"]))
+
+
 def score(docs: DataFrame, folds: int = 7, held: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)."""
     spark = docs.sparkSession
@@ -399,33 +544,32 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, key: str = "doc_id", t
     words = sorted(((bytes(r.word), r.n) for r in top.toLocalIterator()), key=lambda x: (-x[1], x[0]))
     spelled = byte_counts(counts, top)
     code = Code(spelled, int(spelled[32]), ends, words)
-    hot = spark.sparkContext.broadcast({w: math.log10(n + 1) for w, n in words})
     odds = odds_of(slot_counts(train, text, code))
-    model = spark.sparkContext.broadcast((code, odds, learned_start(train, text, code, odds)))
+    start = learned_start(train, text, code, odds)
+    model = spark.sparkContext.broadcast((code, odds, start, np.array([0.0] * FIRST_WORD + [math.log10(n + 1) for _, n in words])))
     slim = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(key).alias("__key"), is_held.alias("held_out"), text)
 
     def run(batches):
-        known, (code, odds, start) = hot.value, model.value
+        code, odds, start, hot_logs = model.value
         for batch in batches:
             for part in pieces_of(batch, SLICE):
                 texts = [words_of(t) for t in part.column(text).to_pylist()]
-                logs, found, rest = [], [], []
-                for words in texts:
-                    tf = Counter(words)
-                    common = tf.keys() & known.keys()
-                    logs.append(math.fsum(known[w] * tf[w] for w in common))
-                    found.append(sum(tf[w] for w in common))
-                    rest.append([(w, c) for w, c in tf.items() if w not in common])
-                scores, _ = text_log10(code, odds, start, texts)
+                data, starts, symbols_in = symbols(code, texts)
+                of, own = np.repeat(np.arange(len(texts)), symbols_in), data[positions(starts, symbols_in)]
+                logs = np.bincount(of, hot_logs[own], minlength=len(texts))
+                found = np.bincount(of[own >= FIRST_WORD], minlength=len(texts))
+                rest = [Counter(w for w in words if w not in code.symbol) for words in texts]
+                scores, _ = symbols_log10(code, odds, start, data, starts, symbols_in)
                 sizes = [sum(map(len, w)) + len(w) + (not w) for w in texts]
                 cols = [pa.array([len(w) + 1 for w in texts], pa.int64()), pa.array(found, pa.int64()), pa.array(logs, pa.float64()), pa.array(scores)]
-                cols += [pa.array(-scores / math.log10(2) / np.array(sizes)), pa.array([[{"w": w, "c": c} for w, c in r] for r in rest], pa.list_(pa.struct([("w", pa.binary()), ("c", pa.int64())])))]
+                cols += [pa.array(-scores / math.log10(2) / np.array(sizes)), listed(rest)]
                 names = ["__row", "__key", "held_out"]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + cols, names=names + ["n_tokens", "hot_known", "hot_log", "score", "bits_per_byte", "rest"])
 
     kind = slim.schema["__key"].dataType.simpleString()
     parts = slim.mapInArrow(run, f"__row BIGINT, __key {kind}, held_out BOOLEAN, n_tokens BIGINT, hot_known BIGINT, hot_log DOUBLE, score DOUBLE, bits_per_byte DOUBLE, rest ARRAY<STRUCT<w: BINARY, c: BIGINT>>")
     parts = written(parts, "scored")
+    model.destroy()
     rare = parts.select("__row", F.explode("rest").alias("r")).select("__row", F.col("r.w").alias("word"), F.col("r.c").alias("c")).join(counts, "word")
     rare = rare.groupBy("__row").agg(F.sum("c").alias("rare_known"), F.sum(F.col("c") * F.log10(F.col("n") + 1)).alias("rare_log"))
     x = parts.drop("rest").join(rare, "__row", "left")

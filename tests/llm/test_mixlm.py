@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -121,3 +122,49 @@ def test_start_weights_come_from_every_training_row(spark):
         of = d.gate == g
         step = np.linalg.solve((x[:, of] * (p * (1 - p))[of]) @ x[:, of].T + np.eye(3), x[:, of] @ (d.bit - p)[of])
         assert np.allclose(got[g], np.clip(m.START + step, 0, 1), atol=1e-3)
+
+
+def log10_by_hand(code, odds, start, words):
+    """One decision after the other, a segment at a time."""
+    data, starts, sizes = m.symbols(code, [words])
+    hashes, total, f = m.contexts(code, data), 0.0, np.float32
+    for begin in range(starts[0], starts[0] + sizes[0], m.SEGMENT):
+        d = m.Decisions(code, data, np.arange(begin, min(begin + m.SEGMENT, starts[0] + sizes[0])))
+        x = np.array([table[d.slots(h, b)] for table, h, b in zip(odds, hashes, m.BITS)], f) / f(16)
+        weights = start.astype(f)
+        seen = 1 / (1 + np.exp(-((np.arange(m.CELLS, dtype=f) + f(0.5)) / 2 - m.CELLS / 4)))
+        for i, (gate, bit) in enumerate(zip(d.gate, d.bit)):
+            dot = (weights[gate] * x[:, i]).sum(dtype=f)
+            p = 1 / (1 + np.exp(-dot))
+            weights[gate] += x[:, i] * (f(m.RATE) * (bit - p))
+            cell = int(np.clip(dot * 2 + m.CELLS / 2, 0, m.CELLS - 1))
+            chance = (2 * p + seen[cell]) / 3
+            seen[cell] += (bit - seen[cell]) * f(m.MAP_RATE)
+            total += math.log10(max(chance if bit else 1 - chance, 1e-7))
+    return total
+
+
+@pytest.mark.parametrize("held, near", [(m.HELD_DECISIONS, m.NEAR), (3000, 64)])
+def test_scores_equal_those_of_one_decision_after_the_other(monkeypatch, held, near):
+    monkeypatch.setattr(m, "HELD_DECISIONS", held)
+    monkeypatch.setattr(m, "NEAR", near)
+    code, texts = small_code(random.Random(7))
+    rnd = np.random.default_rng(3)
+    odds = [rnd.integers(-40, 40, 1 << b).astype(np.int8) for b in m.BITS]
+    start = rnd.uniform(0.1, 0.6, m.flat_start().shape).astype(np.float32)
+    texts = [*texts[:12], [], [b"cat"] * 700, [b"x" * 300, b"the"] * 4]
+    got, _ = m.text_log10(code, odds, start, texts)
+    assert np.allclose(got, [log10_by_hand(code, odds, start, t) for t in texts], rtol=1e-4)
+
+
+def test_a_slice_of_rare_words_is_coded_in_bounded_memory():
+    """Some 6 million decisions: byte by byte they are many more than those of as long a text of frequent words."""
+    code, _ = small_code(random.Random(8))
+    odds = [np.ones(1 << b, np.int8) for b in m.BITS]
+    rnd = np.random.default_rng(4)
+    texts = [bytes(rnd.integers(97, 123, 60_000, np.uint8)).replace(b"e", b" ").split() for _ in range(10)]
+    tracemalloc.start()
+    m.text_log10(code, odds, m.flat_start(), texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
