@@ -13,13 +13,14 @@ weights and map learn from every decision they have coded. The total is the
 text's probability, and its bits per byte follow.
 
 Learning inside a text starts anew every SEGMENT symbols from weights that all
-training rows gave (`learned_start`), the contexts do not; so all segments of a batch are coded side by side, one
-decision of each at a time.
+training rows gave (`learned_start`), the contexts do not; so segments are coded side by side, one
+decision of each gate in each at a time.
 
-What a task holds: tables of fixed size and one slice of texts. Counts of slots
-travel as blocks of SLOTS numbers and are added up block by block; the tables
+What a task holds: tables of fixed size, the symbols of one slice of texts and
+HELD_DECISIONS of its decisions, as rare words have many times those of frequent
+ones. Counts of slots travel as blocks of SLOTS numbers and are added up block by block; the tables
 (2.6 million small numbers) are broadcast. Words: the HOT most frequent ones are
-broadcast with their counts, so no frequent word is a hot key; the others are
+broadcast once, as symbols, with their logarithms, so no frequent word is a hot key; the others are
 joined by the word itself.
 
 Defined results: null, empty and blank texts are the end mark alone. Rows are
@@ -116,10 +117,18 @@ class Code:
 # --- decisions and their slots ----------------------------------------------------------------------------------
 
 
+def symbols_of(code: Code, words: list[bytes]) -> np.ndarray:
+    """The symbol of each word, an escape for those that have none."""
+    return np.fromiter(map(code.symbol.get, words, repeat(ESCAPE)), np.int64, len(words))
+
+
 def symbols(code: Code, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols with PAD end marks before each text, where each text starts, how many symbols it has)."""
     flat = [w for words in texts for w in words]
-    found = np.fromiter(map(code.symbol.get, flat, repeat(ESCAPE)), np.int64, len(flat))
+    return spelled_out(texts, flat, symbols_of(code, flat))
+
+
+def spelled_out(texts: list[list[bytes]], flat: list[bytes], found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rare = np.flatnonzero(found == ESCAPE)
     width = np.ones(len(flat) + 1, np.int64)  # symbols of a word: itself, or the escape, its bytes and a blank
     width[rare] = [len(flat[i]) + 2 for i in rare.tolist()]
@@ -190,8 +199,9 @@ class Decisions:
         each = code.length.take(found)
         ends = np.cumsum(each)
         total = int(ends[-1]) if len(ends) else 0
-        self.at, self.symbol = at, np.repeat(np.arange(len(at)), each)  # of a decision: which of the positions
-        place = (code.first.take(found) - ends + each).take(self.symbol)
+        self.at, self.each, self.first, self.is_word = at, each, ends - each, found >= 256
+        self.symbol = np.repeat(np.arange(len(at)), each)  # of a decision: which of the positions
+        place = (code.first.take(found) - self.first).take(self.symbol)
         place += np.arange(total)
         self.mixed_node, self.mark = code.mixed_node.take(place), code.mark.take(place)
 
@@ -203,6 +213,15 @@ class Decisions:
     def gate(self) -> np.ndarray:
         return self.mark >> 1
 
+    def by_gate(self) -> list[np.ndarray]:
+        """The decisions of each gate, in order."""
+        out = []
+        for chosen in (~self.is_word, self.is_word):
+            each, first = self.each[chosen], self.first[chosen]
+            deeper = np.maximum(each - 2, 0)
+            out += [first[each > 0], first[each > 1] + 1, positions(first + 2, deeper)]
+        return out
+
     def slots(self, hashes: np.ndarray, bits: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             h = hashes.take(self.at).take(self.symbol)
@@ -248,16 +267,16 @@ def flat_start() -> np.ndarray:
 
 def side_by_side(first: np.ndarray, length: np.ndarray):
     """The first place of every run, the second of every run and so on, longest runs first, in blocks of about NEAR
-    places: (places, the run of each in that order, how many runs each turn has)."""
+    places: (places, how many runs each turn has)."""
     by = np.argsort(-length, kind="stable")
     turns, first = int(length[by[0]]), first[by]
     active = len(by) - np.cumsum(np.bincount(length))[:turns]
     for lo, hi in groups(active, NEAR):
-        some = active[lo:hi]
-        run = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
-        places = first[run]
-        places += np.repeat(np.arange(lo, hi), some)
-        yield places, run, some.tolist()
+        some = active[lo:hi].tolist()
+        places, at = np.empty(sum(some), np.intp), 0
+        for turn, a in enumerate(some, lo):
+            np.add(first[:a], turn, out=places[at : (at := at + a)])
+        yield places, some
 
 
 def inputs_of(d: Decisions, odds: list[np.ndarray], hashes: list[np.ndarray]) -> np.ndarray:
@@ -281,13 +300,6 @@ def bits_of(packed: np.ndarray) -> np.ndarray:
     return (packed >> np.uint32(24) & np.uint32(1)).astype(np.float32)
 
 
-def gates_of(packed: np.ndarray) -> list[np.ndarray]:
-    """The decisions of each gate, in order."""
-    gate = (packed >> np.uint32(25)).astype(np.uint8)
-    order = np.argsort(gate, kind="stable")
-    return np.split(order, np.searchsorted(gate.take(order), np.arange(1, GATES)))
-
-
 def chances(z: np.ndarray) -> np.ndarray:
     """1 / (1 + exp(-z))."""
     p = np.negative(z)
@@ -305,11 +317,13 @@ def lanes_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, data: np.
     at = positions(first, size)
     ends = np.cumsum(np.add.reduceat(code.length[data[at]], np.cumsum(size) - size))
     begin, n = np.concatenate([[0], ends[:-1]]), int(ends[-1])
-    packed, done = np.empty(n, np.uint32), 0
+    packed, done, by_gate = np.empty(n, np.uint32), 0, [[] for _ in range(GATES)]
     for d in decisions_at(code, data, at, NEAR):
+        for found, own in zip(by_gate, d.by_gate()):
+            found.append(own + done)
         packed[done : (done := done + len(d.mark))] = inputs_of(d, odds, hashes)
     # the weights: runs are the decisions of a gate in a lane
-    by_gate = gates_of(packed)
+    by_gate = [np.concatenate(x) for x in by_gate]
     run_first = np.concatenate([np.searchsorted(x, begin) for x in by_gate])
     length = np.concatenate([np.searchsorted(x, ends) for x in by_gate]) - run_first
     run_first += np.repeat(np.cumsum([0, *map(len, by_gate[:-1])]), lanes)
@@ -318,7 +332,7 @@ def lanes_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, data: np.
     weights = np.repeat(start.T, lanes, axis=1)[:, by]  # (inputs, runs)
     chance, spare = np.empty(n, np.float32), np.empty((k, len(by)), np.float32)
     rate, one = np.float32(RATE), np.float32(1)
-    for places, _, active in side_by_side(run_first, length):
+    for places, active in side_by_side(run_first, length):
         places = by_gate.take(places)
         x, bit = unpacked(packed.take(places))
         np.negative(x, out=x)  # so that a sum is what exp() takes
@@ -345,8 +359,8 @@ def lanes_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, data: np.
     # the map: runs are lanes
     cell_odds = (np.arange(CELLS, dtype=np.float32) + 0.5) / 2 - CELLS / 4
     seen = np.repeat((1 / (1 + np.exp(-cell_odds)))[:, None], lanes, axis=1).astype(np.float32).ravel()
-    spare, rate = np.empty(lanes, np.float32), np.float32(MAP_RATE)
-    for places, run, active in side_by_side(begin, ends - begin):
+    spare, rate, lane = np.empty(lanes, np.float32), np.float32(MAP_RATE), np.arange(lanes)
+    for places, active in side_by_side(begin, ends - begin):
         dot, bit = -chance.take(places), bits_of(packed.take(places))
         p = chances(dot)
         dot *= 2
@@ -355,11 +369,11 @@ def lanes_log10(code: Code, odds: list[np.ndarray], start: np.ndarray, data: np.
         np.minimum(dot, CELLS - 1, out=dot)
         cell = dot.astype(np.intp)
         cell *= lanes
-        cell += run
         mapped, at = dot, 0
         for a in active:
             s = slice(at, at := at + a)
             c, t = cell[s], spare[:a]
+            c += lane[:a]
             q = seen.take(c, out=mapped[s], mode="clip")
             np.subtract(bit[s], q, out=t)
             t *= rate
@@ -507,12 +521,12 @@ def learned_start(train: DataFrame, text: str, code: Code, odds: list[np.ndarray
             for part in pieces_of(batch, SLICE):
                 for d, hashes in decisions_of(code, [words_of(t) for t in part.column(text).to_pylist()], NEAR):
                     packed = inputs_of(d, odds, hashes)
-                    for total, at in zip(sums, gates_of(packed)):
+                    for total, at in zip(sums, d.by_gate()):
                         x, bit = unpacked(packed.take(at))
                         p = chances(np.float32(START) * sum(x))
                         y = x.astype(np.float64)
                         total[:k] += y @ (bit - p).astype(np.float64)
-                        total[k:] += ((y * (p * (1 - p))) @ y.T).ravel()
+                        total[k:] += (y * (p * (1 - p)).astype(np.float64) @ y.T).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size), pa.int32()), pa.array(sums.ravel())], names=["at", "v"])
 
     sums = np.zeros(GATES * (k + k * k))
@@ -554,12 +568,15 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, key: str = "doc_id", t
         for batch in batches:
             for part in pieces_of(batch, SLICE):
                 texts = [words_of(t) for t in part.column(text).to_pylist()]
-                data, starts, symbols_in = symbols(code, texts)
-                of, own = np.repeat(np.arange(len(texts)), symbols_in), data[positions(starts, symbols_in)]
+                flat = [w for words in texts for w in words]
+                own = symbols_of(code, flat)
+                rare, ends = np.flatnonzero(own == ESCAPE), np.cumsum([0, *map(len, texts)])
+                of = np.repeat(np.arange(len(texts)), np.diff(ends))
                 logs = np.bincount(of, hot_logs[own], minlength=len(texts))
-                found = np.bincount(of[own >= FIRST_WORD], minlength=len(texts))
-                rest = [Counter(w for w in words if w not in code.symbol) for words in texts]
-                scores, _ = symbols_log10(code, odds, start, data, starts, symbols_in)
+                cuts, other = np.searchsorted(rare, ends).tolist(), [flat[i] for i in rare.tolist()]
+                found = np.diff(ends) - np.diff(cuts)
+                rest = [Counter(other[a:b]) for a, b in zip(cuts, cuts[1:])]
+                scores, _ = symbols_log10(code, odds, start, *spelled_out(texts, flat, own))
                 sizes = [sum(map(len, w)) + len(w) + (not w) for w in texts]
                 cols = [pa.array([len(w) + 1 for w in texts], pa.int64()), pa.array(found, pa.int64()), pa.array(logs, pa.float64()), pa.array(scores)]
                 cols += [pa.array(-scores / math.log10(2) / np.array(sizes)), listed(rest)]
