@@ -213,3 +213,20 @@ def test_rounds_move_numbers(spark, monkeypatch):
     graphs.communities(frame(spark, graph(0, 2, 0, 6))).collect()
     named = [c for c in calls if "string" in dict(c).values()]
     assert len(named) == 1 and len(calls) > 10
+
+
+def test_one_task_takes_a_small_graph(spark, monkeypatch):
+    """A hierarchy that a task can hold takes a few tables, not some dozens a level."""
+    links, calls = graph(3, 24, 45), []
+    monkeypatch.setattr(graphs, "cut", lambda df, f=graphs.cut: calls.append(1) or f(df))
+    rows = graphs.hierarchy(frame(spark, links)).collect()
+    assert {(r.node, r.level, r.community, r.parent) for r in rows} == tree_of(links)
+    assert len(calls) <= 5
+
+
+def test_one_task_goes_on_below_the_first_rounds(spark, monkeypatch):
+    """The first contraction by jobs, what is left of it and all further levels in one task each."""
+    links, fits = graph(3, 24, 45), iter([False])
+    monkeypatch.setattr(graphs, "_fits", lambda level, gamma: next(fits, True))
+    rows = graphs.hierarchy(frame(spark, links)).collect()
+    assert {(r.node, r.level, r.community, r.parent) for r in rows} == tree_of(links)
