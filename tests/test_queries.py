@@ -86,6 +86,36 @@ def test_detected_communities_carry_the_graph_jobs(spark, t):
     assert {r.stage for r in run(spark, "drift_hybrid")} <= {"primer", "refine", "follow_up"}
 
 
+def test_graph_rag_routes_its_questions_and_searches_reports(spark, tmp_path):
+    texts = {i: "alphaline came from betaworks." for i in range(1, 7)} | {i: "gammaplant was by deltaforge." for i in range(7, 13)}
+    asked = {1: "why alphaline", 2: "betaworks delayed than", 3: "what was caused by it"}
+    spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(asked.items()), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = {tuple(r) for r in load_all()["job_graph_rag"](spark, str(tmp_path)).collect()}
+    of = lambda mode: {r[1:] for r in rows if r[0] == mode}
+    assert of("route") == {("1", "local", 1), ("2", "hybrid", 1), ("3", "global", 1)}
+    assert of("global") == {("2", "alphaline delayed by betaworks", 1), ("3", "gammaplant caused by deltaforge", 1)}
+    first = {(str(i), i) for i in range(1, 6)}
+    assert {r for r in of("local") if r[0] != "seed"} == {(q, d, n) for q in "12" for d, n in first}
+    assert of("follow_up") == {("2", "alphaline", 1)}
+    store = g.report_store(Tables(spark, str(tmp_path))).collect()
+    assert {r.body for r in store} == {"alphaline delayed by betaworks", "gammaplant caused by deltaforge"}
+
+
+def test_a_parent_whose_facts_do_not_fit_is_searched_by_its_children(spark, t):
+    """Every part of a report is searched, beyond the budget of a printed report too."""
+    base = g.rolled_up(t)[0].collect()
+    parts, facts = {}, {}
+    for r in g.report_store(t, 0).collect():
+        parts.setdefault(r.community, set()).add(r.body)
+    for r in g.tree_facts(t).select(g.name_id(F.col("community")).alias("id"), "fact").collect():
+        facts.setdefault(r.id, set()).add(r.fact)
+    ids = {r.community: r.id for r in spark.createDataFrame([(r.community,) for r in base], "community string").select("community", g.name_id(F.col("community")).alias("id")).collect()}
+    for r in base:
+        want = facts.get(ids[r.community], set()) if r.is_leaf or not r.raw_words else {f"{k.community}: {k.headline}" for k in base if k.parent == r.community}
+        assert parts.get(ids[r.community], set()) == want
+
+
 def test_procedure_run_twice_changes_nothing(spark, t):
     rows = run(spark, "proc_pipeline")
     toxic = {r.doc_id for r in t.labels.where("toxic = 1").collect()}
