@@ -161,3 +161,27 @@ def test_scores_add_up_where_the_block_lies(spark, monkeypatch):
         assert sorted((r.q, r.id, r.score, r["rank"]) for r in found.collect()) == plain(docs, asked, 5)
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert re.search(r"hashpartitioning\(batch_id#\d+L?, block#\d+L?, \d+\), REPARTITION_BY_COL", plan)
+
+
+def test_postings_are_packed_and_move_once(spark, monkeypatch):
+    """Postings name a document by its place in the block; its key, row and length are stored once, beside them."""
+    docs = made(200, 4)
+    x = index(spark)
+    ti.add_batch(x, spark.createDataFrame(docs, SCHEMA), 0)
+    p = x.table("postings", 0)
+    assert dict(p.dtypes)["places"] == dict(p.dtypes)["tfs"] == "array<int>" and "docs" not in p.columns
+    held = {(r.term, r.id): r.tf for r in p.selectExpr("term", "batch_id", "block", "explode(arrays_zip(places, tfs)) p").join(ti._members(x, 0), ["batch_id", "block"]).selectExpr("term", "members[p.places].doc id", "p.tfs tf").collect()}
+    assert held == {(w, i): n for i, text, _ in docs for w, n in Counter(words(text)).items()}
+    dropped = [m["ok"] for r in ti._members(x, 0, F.col("lang") == "a").collect() for m in r.members]
+    assert dropped.count(True) == sum(g == "a" for *_, g in docs) and len(dropped) == len(docs)
+
+
+def test_hits_fetch_documents_without_moving_them(spark, tmp_path):
+    from larkspan.plans.retrieval import with_documents
+    from larkspan.tables import Tables
+
+    spark.createDataFrame([(i, f"text {i}", "en", "s", 6) for i in range(50)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    hits = spark.createDataFrame([(1, 7), (2, 7), (3, 99)], "item_id long, doc_id long").repartition(2)
+    got = with_documents(Tables(spark, str(tmp_path)), hits, "text")
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.item_id, r.text) for r in got.collect()) == [(1, "text 7"), (2, "text 7")]
